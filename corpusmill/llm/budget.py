@@ -36,15 +36,15 @@ class DoubleArrayTrie:
         size = 2 * len(tree) + 600
         base, check, score = [0] * size, [-1] * size, [float("nan")] * size
         check[0] = 0
-        place, free, high, todo = {0: 0}, 1, 1, [0]
+        place, free, high, todo = {0: 0}, 257, 257, [0]  # lower slots would fit too few bytes
         for node in todo:
             kids = sorted(tree[node].items())
             if not kids:
                 continue
             while check[free] != -1:
                 free += 1
-            # single children fill the first gap; larger families go to the loosely filled end, so the search stays short
-            b = max(0, (free if len(kids) == 1 else max(free, high - 300)) - kids[0][0] - 1)
+            # single children fill the first gap and larger families go behind all others: no search
+            b = max(0, (free if len(kids) == 1 else high + 1) - kids[0][0] - 1)
             while True:
                 if b + 258 > len(check):
                     n = len(check)
