@@ -30,7 +30,7 @@ def encode(docs: DataFrame, doc: str = "doc_id", text: str = "text", name: str =
     values = wordtable.word_values(wordtable.distinct_words(b), _encode_words(name, folder), "array<int>")
 
     def back(row: dict) -> pa.RecordBatch:
-        idx, ends = row["idx"].to_numpy(), row["ends"].to_numpy()
+        idx, ends = wordtable.positions(row), row["ends"].to_numpy()
         lists = row["value"]
         if len(idx):
             off, flat = lists.offsets.to_numpy(), lists.values.to_numpy()

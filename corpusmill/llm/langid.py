@@ -149,7 +149,7 @@ def segments(docs: DataFrame, keys: list[str], text: str = "text", model: Model
     L = len(langs)
 
     def back(row: dict) -> pa.RecordBatch:
-        idx, ends, v = row["idx"].to_numpy(), row["ends"].to_numpy(), row["value"]
+        idx, ends, v = wordtable.positions(row), row["ends"].to_numpy(), row["value"]
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         n_docs = len(ends)
         if len(v):

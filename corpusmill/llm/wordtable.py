@@ -37,15 +37,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _narrow(idx: np.ndarray, words: int) -> bytes:
+    """Positions as little-endian integers of two bytes, or of four where a block has more words than those can tell."""
+    return idx.astype("<u2" if words <= 1 << 16 else "<u4").tobytes()
+
+
+def positions(row: dict) -> np.ndarray:
+    """The word position of every token of a block."""
+    raw, ends = row["idx"].as_py(), row["ends"]
+    n = ends[len(ends) - 1].as_py() if len(ends) else 0
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype(np.int64)
+
+
 def blocks(docs: DataFrame, keys: list[str], text: str = "text", doc_freq: bool = False) -> DataFrame:
     """Rows ``block, words, ends, idx, df, <keys>``; key columns become arrays with one entry per document.
 
-    ``ends`` holds each document's end in ``idx``; null texts have no tokens. ``df`` counts the documents of the block
+    ``ends`` holds each document's end in ``idx``, whose bytes ``positions`` reads; null texts have no tokens. ``df`` counts the documents of the block
     that hold each word (empty unless asked for).
     """
     d = docs.select(*keys, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit("(?U)" + SPLIT), F.lit(0)).alias("_w"))
     fields = [T.StructField("block", T.StringType()), T.StructField("words", T.ArrayType(T.StringType())), T.StructField("ends", T.ArrayType(T.IntegerType()))]
-    fields += [T.StructField("idx", T.ArrayType(T.IntegerType())), T.StructField("df", T.ArrayType(T.IntegerType()))]
+    fields += [T.StructField("idx", T.BinaryType()), T.StructField("df", T.ArrayType(T.IntegerType()))]
     fields += [T.StructField(k, T.ArrayType(d.schema[k].dataType)) for k in keys]
 
     def one(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -60,7 +72,7 @@ def blocks(docs: DataFrame, keys: list[str], text: str = "text", doc_freq: bool
             seen = np.unique(doc * np.int64(len(enc.dictionary) + 1) + idx)
             df = np.bincount(seen % (len(enc.dictionary) + 1), minlength=len(enc.dictionary)).astype(np.int32)
         wrap = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-        cols = [pa.array([uuid.uuid4().hex]), wrap(enc.dictionary), wrap(pa.array(ends)), wrap(pa.array(idx)), wrap(pa.array(df))]
+        cols = [pa.array([uuid.uuid4().hex]), wrap(enc.dictionary), wrap(pa.array(ends)), pa.array([_narrow(idx, len(enc.dictionary))], pa.binary()), wrap(pa.array(df))]
         return pa.RecordBatch.from_arrays(cols + [wrap(rows.column(k)) for k in keys], ["block", "words", "ends", "idx", "df", *keys])
 
     def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,9 +128,9 @@ def per_block(b: DataFrame, fn: Callable[[dict], pa.RecordBatch], schema: str) -
 
 def token_sums(row: dict, per_word: np.ndarray) -> np.ndarray:
     """Sum of a per-word number over the tokens of each document of a block."""
-    idx, ends = row["idx"].to_numpy(), row["ends"].to_numpy()
+    idx, ends = positions(row), row["ends"].to_numpy()
     run = np.concatenate([[0], np.cumsum(per_word[idx])]) if len(idx) else np.zeros(1)
     return run[ends] - run[np.concatenate([[0], ends[:-1]])] if len(ends) else np.zeros(0)
 
 
-__all__ = ["attach", "blocks", "cut", "distinct_words", "per_block", "token_sums", "word_values"]
+__all__ = ["attach", "blocks", "cut", "distinct_words", "per_block", "positions", "token_sums", "word_values"]
