@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -36,16 +38,25 @@ def last_match(text: Column, pattern: str) -> Column:
     return F.try_element_at(F.regexp_extract_all(text, F.lit("(?U)" + pattern), F.lit(1)), F.lit(-1))
 
 
+#: Decimal digits of other scripts and their ASCII forms.
+_DIGITS = [chr(i) for i in range(128, sys.maxunicode + 1) if unicodedata.category(chr(i)) == "Nd"]
+_ASCII = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
+
+
+def _number(text: Column) -> Column:
+    return F.translate(text, "".join(_DIGITS), _ASCII).try_cast("double")
+
+
 def extract_score(text: Column, metric: str) -> Column:
     """Score of a generated answer as double, NULL when there is none; unknown metrics raise ValueError."""
     if metric not in SCORE_PATTERNS:
         raise ValueError(f"unknown metric {metric!r}")
-    return last_match(text, SCORE_PATTERNS[metric]).cast("double")
+    return _number(last_match(text, SCORE_PATTERNS[metric]))
 
 
 def extract_score_fallback(text: Column, patterns: Sequence[str]) -> Column:
     """First of several patterns that matches."""
-    return F.coalesce(*[last_match(text, p) for p in patterns]).cast("double")
+    return _number(F.coalesce(*[last_match(text, p) for p in patterns]))
 
 
 def words(text: Column) -> Column:
