@@ -115,15 +115,21 @@ def krippendorff(values: DataFrame, keys: Sequence[str] = (), item: Sequence[str
     return s.select(*k, (1 - F.try_divide((F.col("n") - 1) * F.col("do"), F.col("de"))).alias("krippendorff"))
 
 
-def summary(pair_rows: DataFrame, thresholds: Sequence[float] = (3.0,), keys: Sequence[str] = PAIR) -> DataFrame:
-    """``n_common, n_valid, invalid, mae, mse, acc, ta_<t>`` per pair, in one pass over the pair rows."""
-    s0, s1 = F.col("score_0"), F.col("score_1")
+def counted(pair_rows: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
+    """The contingency table with invalid scores (NULL) kept."""
+    return pair_rows.groupBy(*keys, "score_0", "score_1").agg(F.count("*").alias("n"))
+
+
+def summary(table: DataFrame, thresholds: Sequence[float] = (3.0,), keys: Sequence[str] = PAIR) -> DataFrame:
+    """``n_common, n_valid, invalid, mae, mse, acc, ta_<t>`` per pair from a counted table."""
+    s0, s1, n = F.col("score_0"), F.col("score_1"), F.col("n")
     both = s0.isNotNull() & s1.isNotNull()
-    d = F.when(both, s0 - s1)
-    same = F.when(both, (round_half_up(s0) == round_half_up(s1)).cast("double"))
-    ta = [F.avg(F.when(both, ((s0 >= t) == (s1 >= t)).cast("double"))).alias(f"ta_{t:g}".replace(".", "_")) for t in thresholds]
-    n, v = F.count("*"), F.count_if(both)
-    return pair_rows.groupBy(*keys).agg(n.alias("n_common"), v.alias("n_valid"), (n - v).alias("invalid"), F.avg(F.abs(d)).alias("mae"), F.avg(d * d).alias("mse"), F.avg(same).alias("acc"), *ta)
+    valid = F.sum(F.when(both, n).otherwise(0))
+    mean = lambda x, name: F.try_divide(F.sum(F.when(both, n * x)), valid.cast("double")).alias(name)
+    d = s0 - s1
+    cols = [mean(F.abs(d), "mae"), mean(d * d, "mse"), mean((round_half_up(s0) == round_half_up(s1)).cast("double"), "acc")]
+    cols += [mean(((s0 >= t) == (s1 >= t)).cast("double"), f"ta_{t:g}".replace(".", "_")) for t in thresholds]
+    return table.groupBy(*keys).agg(F.sum("n").alias("n_common"), valid.alias("n_valid"), (F.sum("n") - valid).alias("invalid"), *cols)
 
 
 def against(pair_rows: DataFrame, truth: str) -> DataFrame:
@@ -220,9 +226,9 @@ def comparison(pair_rows: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
 
 
 def metrics(pair_rows: DataFrame, thresholds: Sequence[float] = (3.0,), keys: Sequence[str] = PAIR) -> DataFrame:
-    """All pair metrics side by side. The contingency table is cached: every statistic reads it."""
+    """All pair metrics side by side. The counted table is cached: every statistic reads it, the documents are shuffled once."""
     k = list(keys)
-    ct = contingency(pair_rows, k).cache()
-    out = summary(pair_rows, thresholds, k).join(spearman(ct, k), k, "left").join(kendall(ct, k), k, "left")
+    table = counted(pair_rows, k).cache()
+    ct = table.filter("score_0 is not null and score_1 is not null")
+    out = summary(table, thresholds, k).join(spearman(ct, k), k, "left").join(kendall(ct, k), k, "left")
     return out.join(cohen(rounded(ct, k), k), k, "left")
-

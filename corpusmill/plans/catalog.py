@@ -154,7 +154,7 @@ def spearman_rank(s, d):
 
 @query(f"with {CT}, {TAU} select {PK}, {R('kendall', 'kendall')} from tau")
 def kendall_tau_b(s, d):
-    return agreement.kendall(agreement.contingency(pair_rows(s, d)).cache())
+    return agreement.kendall(agreement.contingency(pair_rows(s, d)))
 
 
 @query(f"with {VP}, {COHEN} select {PK}, {R('cohen', 'cohen')} from coh")
@@ -175,12 +175,12 @@ def krippendorff_alpha(s, d):
 
 @query(f"with {P} select {PK}, count(*) as n_common, count(*) filter (score_0 is null or score_1 is null) as invalid from p group by 1, 2")
 def invalid_count(s, d):
-    return agreement.summary(pair_rows(s, d)).select(*agreement.PAIR, "n_common", "invalid")
+    return agreement.summary(agreement.counted(pair_rows(s, d))).select(*agreement.PAIR, "n_common", "invalid")
 
 
 @query(f"with {VP} select {PK}, " + ", ".join(R(f"avg(((score_0 >= {x}) = (score_1 >= {x}))::int)", f"ta_{x}") for x in (1, 2, 3, 4)) + " from q group by 1, 2")
 def threshold_agreement(s, d):
-    f = agreement.summary(pair_rows(s, d).filter("score_0 is not null and score_1 is not null"), (1.0, 2.0, 3.0, 4.0))
+    f = agreement.summary(agreement.contingency(pair_rows(s, d)), (1.0, 2.0, 3.0, 4.0))
     return f.select(*agreement.PAIR, "ta_1", "ta_2", "ta_3", "ta_4")
 
 
