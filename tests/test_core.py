@@ -81,7 +81,7 @@ def test_kendall_and_spearman_brute_force(spark):
 
 
 def test_krippendorff_and_fleiss_goldens(spark):
-    # three documents by three raters; the first value is the published one of this matrix
+    # the textbook table of ten subjects, five categories and fourteen raters
     table = [[0, 0, 0, 0, 14], [0, 2, 6, 4, 2], [0, 0, 3, 5, 6], [0, 3, 9, 2, 0], [2, 2, 8, 1, 1], [7, 7, 0, 0, 0], [3, 2, 6, 3, 0], [2, 5, 3, 2, 2], [6, 5, 2, 1, 0], [0, 2, 2, 3, 7]]
     rows = [(str(i), float(s)) for i, r in enumerate(table) for s, n in enumerate(r) for _ in range(n)]
     k = agreement.fleiss(spark.createDataFrame(rows, "doc_id string, score double")).first()[0]
