@@ -1,7 +1,7 @@
 """Filling containers of fixed token capacity with documents that belong together.
 
-Documents are sharded (bounded shards, sites kept together, large sites split by hash); every shard builds a BM25 inverted index over its documents'
-strongest terms, weighted with document frequencies of the whole corpus. The longest unused document seeds a container,
+Documents are sharded (bounded shards, sites kept together, large sites split by hash); every shard builds a BM25 inverted index over all terms that
+stand in two documents or more, weighted with document frequencies of the whole corpus. The longest unused document seeds a container,
 its best-scoring unused neighbours fill the window greedily, and what space is left goes to the longest unused document that fits.
 Only documents longer than the capacity are cut: into full containers and a rest that is packed like a document.
 """
@@ -9,7 +9,7 @@ Only documents longer than the capacity are cut: into full containers and a rest
 from __future__ import annotations
 
 import bisect
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,17 +21,26 @@ from corpusmill.llm import tokenizer, wordtable
 
 #: Documents of a shard, about; a shard is one task's index.
 SHARD_DOCS = 4096
-#: Index terms kept of each document, by BM25 weight.
-TERMS = 24
+#: Scores an index remembers; those beyond are computed again.
+KEPT_SCORES = 20_000_000
 K1, B = 1.2, 0.75
 
 
-def _terms(docs: DataFrame, doc: str, text: str, site: str | None, name: str, folder: str) -> DataFrame:
-    """``doc_id, site, n_tokens, terms, weights``: token counts and strongest terms, from one split of the texts."""
+def _sharded(docs: DataFrame, doc: str, text: str, site: str | None) -> tuple[DataFrame, int, float]:
+    """``doc_id, shard, text``, with the number of documents and their mean length in words of six characters."""
     d = docs.select(F.col(doc).alias("doc_id"), F.coalesce((F.col(site) if site else F.lit("")).cast("string"), F.lit("")).alias("site"), F.col(text).alias("text"))
     n_docs, mean_words = d.agg(F.count("*"), F.avg(F.coalesce(F.length("text"), F.lit(0)) / 6.0)).first()
-    mean_words = float(mean_words or 1.0) or 1.0
-    b = wordtable.blocks(d, ["doc_id", "site"], doc_freq=True)
+    bins = max(1, round(n_docs / SHARD_DOCS))
+    big = d.groupBy("site").agg(F.count("*").alias("n_site")).filter(F.col("n_site") >= SHARD_DOCS // 2)  # at most two a shard
+    salt = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.round(F.col("n_site") / SHARD_DOCS).cast("int")))
+    shard = F.when(F.col("n_site").isNotNull(), F.concat_ws(":", F.lit("s"), "site", salt)).otherwise(F.concat(F.lit("m:"), F.pmod(F.xxhash64("site"), F.lit(bins))))
+    return d.join(F.broadcast(big), "site", "left").select("doc_id", shard.alias("shard"), "text"), n_docs, float(mean_words or 1.0) or 1.0
+
+
+def _terms(docs: DataFrame, doc: str, text: str, site: str | None, name: str, folder: str) -> DataFrame:
+    """``doc_id, shard, n_tokens, terms, weights``: token counts and BM25 weights of all terms that others share, from one split of the texts."""
+    d, n_docs, mean_words = _sharded(docs, doc, text, site)
+    b = wordtable.blocks(d, ["doc_id", "shard"], doc_freq=True)
     freq = b.select(F.explode(F.arrays_zip("words", "df")).alias("z")).groupBy(F.col("z.words").alias("word")).agg(F.sum("z.df").alias("freq"))
 
     def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -49,7 +58,7 @@ def _terms(docs: DataFrame, doc: str, text: str, site: str | None, name: str, fo
         if not len(v):
             empty = pa.ListArray.from_arrays(pa.array(np.zeros(m + 1), pa.int32()), pa.array([], pa.int64()))
             flat = pa.ListArray.from_arrays(pa.array(np.zeros(m + 1), pa.int32()), pa.array([], pa.float32()))
-            return pa.RecordBatch.from_arrays([row["doc_id"], row["site"], pa.array(np.zeros(m, np.int64)), empty, flat], ["doc_id", "site", "n_tokens", "terms", "weights"])
+            return pa.RecordBatch.from_arrays([row["doc_id"], row["shard"], pa.array(np.zeros(m, np.int64)), empty, flat], ["doc_id", "shard", "n_tokens", "terms", "weights"])
         tok, fr, term = (v.field(k).to_numpy() for k in ("tokens", "freq", "term"))
         n_tokens = wordtable.token_sums(row, tok.astype(np.int64)).astype(np.int64)
         size = np.diff(np.concatenate([[0], ends]))
@@ -59,22 +68,44 @@ def _terms(docs: DataFrame, doc: str, text: str, site: str | None, name: str, fo
         wt = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[dd] / mean_words))
         ok = fr[ww] > 1  # a term of one document leads to no neighbour
         dd, ww, wt = dd[ok], ww[ok], wt[ok]
-        order = np.lexsort((-wt, dd))
-        dd, ww, wt = dd[order], ww[order], wt[order]
-        start = np.searchsorted(dd, np.arange(m))
-        keep = np.arange(len(dd)) - start[dd] < TERMS
-        dd, ww, wt = dd[keep], ww[keep], wt[keep]
         off = pa.array(np.searchsorted(dd, np.arange(m + 1)), pa.int32())
         return pa.RecordBatch.from_arrays(
-            [row["doc_id"], row["site"], pa.array(n_tokens), pa.ListArray.from_arrays(off, pa.array(term[ww])), pa.ListArray.from_arrays(off, pa.array(wt.astype(np.float32)))],
-            ["doc_id", "site", "n_tokens", "terms", "weights"],
+            [row["doc_id"], row["shard"], pa.array(n_tokens), pa.ListArray.from_arrays(off, pa.array(term[ww])), pa.ListArray.from_arrays(off, pa.array(wt.astype(np.float32)))],
+            ["doc_id", "shard", "n_tokens", "terms", "weights"],
         )
 
     kind = docs.schema[doc].dataType.simpleString()
-    return wordtable.per_block(wordtable.attach(b, values), back, f"doc_id {kind}, site string, n_tokens bigint, terms array<bigint>, weights array<float>")
-
-
-def fill(sizes: np.ndarray, terms: list[np.ndarray], weights: list[np.ndarray], capacity: int) -> list[list[tuple[int, int, int]]]:
+    return wordtable.per_block(wordtable.attach(b.drop("df"), values), back, f"doc_id {kind}, shard string, n_tokens bigint, terms array<bigint>, weights array<float>")
+
+
+class Index:
+    """BM25 scores of all items of a shard for the terms of one of them; kept, as the same items are seeds of several capacities."""
+
+    def __init__(self, terms: list[np.ndarray], weights: list[np.ndarray]):
+        n = self.n = len(terms)
+        lens = [len(t) for t in terms]
+        flat = np.concatenate(terms) if n else np.zeros(0, np.int64)
+        vocab, tid = np.unique(flat, return_inverse=True)
+        order = np.argsort(tid, kind="stable")
+        self.owner = np.repeat(np.arange(n), lens)[order]
+        self.weight = (np.concatenate(weights).astype(np.float64) if n else np.zeros(0))[order]
+        self.start = np.searchsorted(tid[order], np.arange(len(vocab) + 1))
+        self.tid, self.at = tid, np.concatenate([[0], np.cumsum(lens)]).astype(int)
+        self.known: dict[int, np.ndarray] = {}
+
+    def scores(self, item: int) -> np.ndarray:
+        got = self.known.get(item)
+        if got is None:
+            q = self.tid[self.at[item] : self.at[item + 1]]
+            lo, size = self.start[q], self.start[q + 1] - self.start[q]
+            at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+            got = np.bincount(self.owner[at], self.weight[at], self.n).astype(np.float32)
+            if len(self.known) * self.n < KEPT_SCORES:
+                self.known[item] = got
+        return got
+
+
+def fill(sizes: np.ndarray, scores: Callable[[int], np.ndarray], capacity: int) -> list[list[tuple[int, int, int]]]:
     """Containers as lists of (item, start, length). Items of size 0 stay out."""
     out: list[list[tuple[int, int, int]]] = []
     n = len(sizes)
@@ -83,19 +114,9 @@ def fill(sizes: np.ndarray, terms: list[np.ndarray], weights: list[np.ndarray],
         out += [[(int(i), int(k * capacity), capacity)] for k in range(full[i])]
     rest = sizes - full * capacity
     begin = full * capacity
-    lens = [len(t) for t in terms]
-    flat = np.concatenate(terms) if n else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(n), lens)
-    wt = np.concatenate(weights).astype(np.float64) if n else np.zeros(0)
-    vocab, tid = np.unique(flat, return_inverse=True)
-    order = np.argsort(tid, kind="stable")
-    p_owner, p_wt = owner[order], wt[order]
-    p_start = np.searchsorted(tid[order], np.arange(len(vocab) + 1))
-    doc_at = np.concatenate([[0], np.cumsum(lens)]).astype(int)
     free = rest > 0
     by_size = sorted((int(rest[i]), i) for i in range(n) if free[i])  # shrinks as items are used
     gone = np.zeros(n, bool)
-    score = np.zeros(n)
 
     def take_fitting(room: int) -> int | None:
         at = bisect.bisect_right(by_size, (room, n))
@@ -116,22 +137,14 @@ def fill(sizes: np.ndarray, terms: list[np.ndarray], weights: list[np.ndarray],
         gone[seed] = True
         box, room = [(int(seed), int(begin[seed]), int(rest[seed]))], capacity - int(rest[seed])
         if room and by_size:
-            q = tid[doc_at[seed] : doc_at[seed + 1]]
-            touched = [p_owner[p_start[t] : p_start[t + 1]] for t in q]
-            if touched:
-                who = np.concatenate(touched)
-                np.add.at(score, who, np.concatenate([p_wt[p_start[t] : p_start[t + 1]] for t in q]))
-                who = np.unique(who)
-                who = who[~gone[who] & (rest[who] > 0) & (rest[who] <= room)]
-                for i in who[np.lexsort((who, -score[who]))]:
-                    if rest[i] <= room:
-                        box.append((int(i), int(begin[i]), int(rest[i])))
-                        gone[i] = True
-                        room -= int(rest[i])
-                        if room <= 0:
-                            break
-                for t in touched:
-                    score[t] = 0
+            score = scores(seed)
+            who = np.nonzero((score > 0) & ~gone & (rest > 0) & (rest <= room))[0]
+            while len(who):
+                i = who[np.argmax(score[who])]
+                box.append((int(i), int(begin[i]), int(rest[i])))
+                gone[i] = True
+                room -= int(rest[i])
+                who = who[(rest[who] <= room) & ~gone[who]]
         while room > 0 and (i := take_fitting(room)) is not None:
             box.append((int(i), int(begin[i]), int(rest[i])))
             gone[i] = True
@@ -156,21 +169,15 @@ def pack(
     schema = f"capacity_id bigint, container_id string, doc_id {kind}, piece_no int, token_start bigint, n_tokens bigint"
     if not caps:
         return spark.createDataFrame([], schema)
-    items = wordtable.cut(_terms(docs, doc, text, site, name, folder))
-    count = items.groupBy("site").agg(F.count("*").alias("n_site"))
-    bins = max(1, round(items.count() / SHARD_DOCS))
-    big = F.col("n_site") >= SHARD_DOCS // 2
-    salt = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.round(F.col("n_site") / SHARD_DOCS).cast("int")))
-    shard = F.when(big, F.concat_ws(":", F.lit("s"), "site", salt)).otherwise(F.concat(F.lit("m:"), F.pmod(F.xxhash64("site"), F.lit(bins))))
-    items = items.join(count, "site").withColumn("shard", shard).select("shard", "doc_id", "n_tokens", "terms", "weights")
+    items = _terms(docs, doc, text, site, name, folder)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["n_tokens", "doc_id"], kind="stable").reset_index(drop=True)
         sizes = pdf["n_tokens"].to_numpy(np.int64)
-        terms, weights = [np.asarray(t, np.int64) for t in pdf["terms"]], [np.asarray(t, np.float32) for t in pdf["weights"]]
+        index = Index([np.asarray(t, np.int64) for t in pdf["terms"]], [np.asarray(t, np.float32) for t in pdf["weights"]])
         tag, rows = pdf["shard"].iloc[0], []
         for cid, cap in caps:
-            for k, box in enumerate(fill(sizes, terms, weights, cap)):
+            for k, box in enumerate(fill(sizes, index.scores, cap)):
                 rows += [(cid, f"{tag}/{k}", i, start // cap, start, length) for i, start, length in box]
             rows += [(cid, None, int(i), 0, 0, 0) for i in np.nonzero(sizes == 0)[0]]
         out = pd.DataFrame(rows, columns=["capacity_id", "container_id", "i", "piece_no", "token_start", "n_tokens"])

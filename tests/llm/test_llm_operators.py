@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -248,6 +249,25 @@ def test_packing_is_whole_and_within_capacity(spark):
     assert pack.pack(df.filter("false"), caps).count() == 0
 
 
+def test_index_holds_every_shared_term_and_neighbours_are_those_of_the_full_index(spark):
+    r = random.Random(11)
+    vocab = ["".join(r.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(300)]
+    rows = [(i, " " + " ".join(r.choices(vocab, k=r.randint(60, 200))), "s") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    tf = [Counter(t.split()) for _, t, _ in rows]
+    df = Counter(w for c in tf for w in c)
+    mean = sum(len(t) / 6 for _, t, _ in rows) / len(rows)
+    idf = {w: math.log(1 + (80 - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    bm = [{w: idf[w] * n * (pack.K1 + 1) / (n + pack.K1 * (1 - pack.B + pack.B * c.total() / mean)) for w, n in c.items() if df[w] > 1} for c in tf]
+    items = sorted(pack._terms(docs, "doc_id", "text", "source", "byte_bpe_50k", tokenizer.DEFAULT_DIR).collect(), key=lambda x: x.doc_id)
+    assert [len(x.terms) for x in items] == [len(b) for b in bm] and min(map(len, bm)) > 24
+    index = pack.Index([np.array(x.terms) for x in items], [np.array(x.weights, np.float32) for x in items])
+    for i in range(80):
+        full = np.array([sum(b.get(w, 0.0) for w in bm[i]) for b in bm])
+        assert np.allclose(index.scores(i), full, rtol=1e-4)
+        assert len(set(np.argsort(-index.scores(i))[:20]) & set(np.argsort(-full)[:20])) >= 19
+
+
 # ---------------------------------------------------------------------------------------------------------------- lines
 
 
