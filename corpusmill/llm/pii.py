@@ -5,14 +5,15 @@ neighbours, name statistics), everything between them is outside; the probabilit
 exponential of its spans' scores. Boundaries and kinds are chosen together by dynamic programming over the candidates.
 
 The field is trained here on a bounded sample: spans with a telling context or form serve as labels, other candidates as
-outside. Surname endings are counted in the same sample. Prediction runs over the whole of every text.
+outside. Surname endings are counted in all documents. Prediction runs over the whole of every text.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,6 +24,10 @@ from pyspark.sql import functions as F
 KINDS = ("email", "phone", "id_number", "address", "name")
 #: Bound of the training sample in documents, chosen by a hash of the id.
 SAMPLE_DOCS = 5000
+#: Bound of the surname endings that are held in the model; more are rejected, never cut.
+MAX_ENDINGS = 500_000
+#: Shares of surnames among the forms of an ending that features tell apart.
+LEVELS = (0.3, 0.5, 0.7)
 
 # Words before a number, titles, name particles and street words, by language where they differ.
 PHONE_CUES = set("tel telefon telefono teléfono telefone téléphone tél phone ring call mobile fax unter ruft llama chiama bel appelez numerem telefonicznie le retard al il nummer mobil handy".split())
@@ -63,6 +68,10 @@ NUMBER = re.compile(r"(?:(?<!\w)[A-Z]{2,3}[  ](?:[A-Z]{2,3}[  ])?)?(?<!\w)(?:\
 WORDS_BEFORE = re.compile(r"[^\W\d_]+")
 GIVEN_SIDE = re.compile(rf"({CAP})((?:{SP}[^\W\d_a-z]\.)?{SP}{PARTICLES}*)({CAP})")
 FAMILY_FIRST = re.compile(rf"({PARTICLES}*{CAP}),{SP}({CAP})")
+CAPITALISED = re.compile(CAP)
+GAP_AFTER_GIVEN = re.compile(rf"(?:{SP}[^\W\d_]\.)?{SP}{PARTICLES}*")
+GAP_AFTER_FAMILY = re.compile(rf",{SP}")
+KNOWN = re.compile(r":known[01](?:hi|mid|lo)$")
 
 
 @dataclass
@@ -79,9 +88,11 @@ class Model:
     weights: dict[str, float] = field(default_factory=dict)
     endings: dict[str, float] = field(default_factory=dict)
     given: frozenset = frozenset()
+    #: By form, the highest score that a pair without a listed given name or a surname ending can reach.
+    reach: dict[str, float] = field(default_factory=dict)
 
     def surname(self, word: str) -> float:
-        """Share of the forms with this word's longest known ending that stand as surnames."""
+        """Share of the forms with this word's longest known ending that stand as surnames, down to the next of ``LEVELS``."""
         w = word.rsplit("-", 1)[-1].lower()
         for k in range(min(7, len(w)), 3, -1):
             p = self.endings.get(w[-k:])
@@ -191,58 +202,39 @@ def _addresses(text: str, lo: int, hi: int) -> Iterator[Span]:
         yield Span(m.start(), m.end(), "address", ["a", f"a:form{i}", f"a:w={words[-1] if words else ''}", f"a:colon{int(after[:1] == ':')}", f"a:next{after[:1] if not after[:1].isalnum() else 'w'}", f"a:len{m.group().count(' ')}"])
 
 
-def _trigger(word: str, model: Model) -> bool:
-    w = word.strip(".,;:|!?()[]\"'«»„“”¿¡/–—*_>")
-    return len(w) > 2 and w[0].isupper() and (w in model.given or w.capitalize() in model.given or model.surname(w) >= 0.3)
-
-
 def _is_given(word: str, model: Model) -> bool:
     return word in model.given or word.title() in model.given or word.capitalize() in model.given
 
 
-def _names(text: str, model: Model, cache: dict[str, bool]) -> Iterator[Span]:
-    hits = []
-    for w in set(text.split()):
-        t = cache.get(w)
-        if t is None:
-            if len(cache) > 400_000:
-                cache.clear()
-            t = cache[w] = any(_trigger(p, model) for p in re.split(r"[|;,/:()]", w))
-        if t:
-            hits.append(w)
-    if not hits:
-        return
-    lines = set()
-    for w in hits:
-        at = text.find(w)
-        while at >= 0:
-            lines.add((text.rfind("\n", 0, at) + 1))
-            at = text.find(w, at + len(w))
-    for s in sorted(lines):
-        e = text.find("\n", s)
-        line = text[s : e if e >= 0 else len(text)]
-        pos = 0
-        while m := GIVEN_SIDE.search(line, pos):
-            pos = m.start(3)
-            a, b = m.group(1), m.group(3).rstrip("-'’")
-            end = m.start(3) + len(b)
-            if b.endswith("'s") or b.endswith("’s"):
-                b, end = b[:-2], end - 2
-            if a.lower() in TITLES or b.lower() in TITLES:
+def _names(text: str, model: Model) -> Iterator[Span]:
+    """Pairs of capitalised words. Those that neither list nor ending speaks for are left to their context; where the
+    field's weights keep every such pair below zero, the best segmentation can't hold it and it is not built."""
+    surname, reach = model.surname, model.reach
+    pos = 0
+    while m := GIVEN_SIDE.search(text, pos):
+        pos = m.start(3)
+        a, b = m.group(1), m.group(3).rstrip("-'’")
+        end = m.start(3) + len(b)
+        if b.endswith("'s") or b.endswith("’s"):
+            b, end = b[:-2], end - 2
+        if a.lower() in TITLES or b.lower() in TITLES:
+            continue
+        middle = bool(m.group(2).strip())
+        for form, g, f in (("gf", a, b), ("fg", b, a)):
+            if form == "fg" and middle:
                 continue
-            for form, g, f in (("gf", a, b), ("fg", b, a)):
-                if form == "fg" and m.group(2).strip():
-                    continue
-                known, sur = _is_given(g, model), model.surname(f)
-                if known or sur >= 0.3:
-                    yield _name_span(text, s + m.start(), s + end, form, known, sur, model, g, f, bool(m.group(2).strip()))
-        pos = 0
-        while m := FAMILY_FIRST.search(line, pos):
-            pos = m.start(2)
-            f, g = m.group(1).split()[-1], m.group(2)
-            known, sur = _is_given(g, model), model.surname(f)
-            if (known or sur >= 0.3) and g.lower() not in TITLES:
-                yield _name_span(text, s + m.start(), s + m.start(2) + len(g), "f,g", known, sur, model, g, f, " " in m.group(1))
+            known, sur = _is_given(g, model), surname(f)
+            if known or sur >= 0.3 or reach.get(form, 1.0) > 0:
+                yield _name_span(text, m.start(), end, form, known, sur, model, g, f, middle)
+    pos = 0
+    while m := FAMILY_FIRST.search(text, pos):
+        pos = m.start(2)
+        f, g = m.group(1).split()[-1], m.group(2)
+        if g.lower() in TITLES:
+            continue
+        known, sur = _is_given(g, model), surname(f)
+        if known or sur >= 0.3 or reach.get("f,g", 1.0) > 0:
+            yield _name_span(text, m.start(), m.start(2) + len(g), "f,g", known, sur, model, g, f, " " in m.group(1))
 
 
 def _name_span(text, s, e, form, known, sur, model, g, f, middle) -> Span:
@@ -255,7 +247,7 @@ def _name_span(text, s, e, form, known, sur, model, g, f, middle) -> Span:
     return Span(s, e, "name", feats)
 
 
-def candidates(text: str, model: Model, cache: dict[str, bool]) -> list[Span]:
+def candidates(text: str, model: Model) -> list[Span]:
     out = []
     if HAS_DIGIT.search(text):
         at = 0
@@ -267,7 +259,7 @@ def candidates(text: str, model: Model, cache: dict[str, bool]) -> list[Span]:
                 out += _addresses(text, at, end)
             at = end + 1
     out += _emails(text)
-    out += _names(text, model, cache)
+    out += _names(text, model)
     return out
 
 
@@ -286,7 +278,8 @@ def clusters(spans: list[Span]) -> Iterator[list[Span]]:
 
 def _last_before(group: list[Span]) -> list[int]:
     """For each candidate, how many candidates end at or before its start."""
-    return [sum(1 for y in group if y.end <= x.start) for x in group]
+    ends = [x.end for x in group]
+    return [bisect_right(ends, x.start) for x in group]
 
 
 def best(group: list[Span], weights: dict[str, float]) -> list[Span]:
@@ -316,7 +309,7 @@ def _marginals(group: list[Span], score: list[float]) -> list[float]:
         fw.append(add(fw[i], fw[prev[i]] + score[i]))
     starts = [group[i].start for i in order]
     bw = [0.0] * (n + 1)  # bw[r]: candidates from rank r on, by start
-    rank = lambda at: next((r for r in range(n) if starts[r] >= at), n)
+    rank = lambda at: bisect_left(starts, at)
     for r in range(n - 1, -1, -1):
         i = order[r]
         bw[r] = add(bw[r + 1], score[i] + bw[rank(group[i].end)])
@@ -350,29 +343,56 @@ def _label(text: str, spans: list[Span], model: Model) -> None:
             taken.append(x)
 
 
-def fit(texts: list[str], given: set[str], epochs: int = 5, rate: float = 0.3, decay: float = 1e-4) -> Model:
-    model = Model(given=frozenset(given))
-    after, forms = defaultdict(set), defaultdict(set)
-    cap = re.compile(CAP)
-    for t in texts:
-        toks = [(m.start(), m.end(), m.group()) for m in cap.finditer(t)]
-        for (s0, e0, a), (s1, e1, b) in zip(toks, toks[1:]):
-            gap = t[e0:s1]
-            if _is_given(a, model) and re.fullmatch(rf"(?:{SP}[^\W\d_]\.)?{SP}{PARTICLES}*", gap):
-                after[b.rsplit("-", 1)[-1].lower()].add(1)
-            elif _is_given(b, model) and re.fullmatch(rf",{SP}", gap):
-                after[a.rsplit("-", 1)[-1].lower()].add(1)
-        for _, _, w in toks:
-            forms[w.rsplit("-", 1)[-1].lower()].add(1)
-    total, hit = Counter(), Counter()
-    for w in forms:
-        for k in range(4, min(7, len(w)) + 1):
-            total[w[-k:]] += 1
-            hit[w[-k:]] += w in after
-    model.endings = {x: hit[x] / n for x, n in total.items() if n >= 2}
-    data, cache = [], {}
+def surname_forms(text: str, given: frozenset, forms: dict[str, bool]) -> None:
+    """Adds the last parts of the capitalised words of a text, and whether they stand beside a listed given name as a family name does."""
+    model = Model(given=given)
+    last_end, last, last_given = 0, "", False
+    for m in CAPITALISED.finditer(text):
+        w = m.group()
+        key, is_given = w.rsplit("-", 1)[-1].lower(), _is_given(w, model)
+        forms.setdefault(key, False)
+        if last and last_given and GAP_AFTER_GIVEN.fullmatch(text, last_end, m.start()):
+            forms[key] = True
+        elif last and is_given and GAP_AFTER_FAMILY.fullmatch(text, last_end, m.start()):
+            forms[last.rsplit("-", 1)[-1].lower()] = True
+        last_end, last, last_given = m.end(), w, is_given
+
+
+def surname_endings(docs: DataFrame, given: set[str], text: str = "text", bound: int = MAX_ENDINGS) -> dict[str, float]:
+    """Endings of 4 to 7 letters that two forms or more of all documents share, with the share of those that stand as surnames, down to the next
+    of ``LEVELS``. An ending that says the same as the next shorter one is left out, as ``Model.surname`` goes on to that."""
+    bc = docs.sparkSession.sparkContext.broadcast(frozenset(given))
+
+    def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forms: dict[str, bool] = {}
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(list(forms), pa.string()), pa.array(list(forms.values()), pa.bool_())], ["form", "after"])
+        for rows in it:
+            for t in rows.column("t").to_pylist():
+                surname_forms(t, bc.value, forms)
+            if len(forms) > 200_000:
+                yield out()
+                forms.clear()
+        yield out()
+
+    forms = docs.select(F.col(text).alias("t")).filter("length(t) > 0").mapInArrow(part, "form string, after boolean").groupBy("form").agg(F.max("after").alias("after"))
+    ends = forms.filter("length(form) >= 4").select("after", F.explode(F.expr("transform(sequence(4, least(7, length(form))), k -> right(form, k))")).alias("ending"))
+    share = ends.groupBy("ending").agg(F.count("*").alias("n"), F.sum(F.col("after").cast("int")).alias("hit")).filter("n >= 2")
+    level = F.lit(0.0)
+    for x in LEVELS:
+        level = F.when(F.col("hit") / F.col("n") >= x, F.lit(x)).otherwise(level)
+    share = share.select("ending", level.alias("level"))
+    shorter = share.select(F.col("ending").alias("shorter"), F.col("level").alias("below"))
+    rows = share.join(shorter, F.expr("substring(ending, 2)") == F.col("shorter"), "left").filter("level != coalesce(below, 0.0)").select("ending", "level").limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"more than {bound} surname endings")
+    return {r[0]: r[1] for r in rows}
+
+
+def fit(texts: list[str], given: set[str], endings: dict[str, float], epochs: int = 5, rate: float = 0.3, decay: float = 1e-4) -> Model:
+    model = Model(given=frozenset(given), endings=endings)
+    data = []
     for t in texts:
-        spans = candidates(t, model, cache)
+        spans = candidates(t, model)
         _label(t, spans, model)
         for g in clusters(spans):
             unsure = [x for x in g if not x.gold and (x.kind == "name" and any(f in x.feats for f in ("n:known0hi", "n:known1mid", "n:known0mid")))]
@@ -386,6 +406,8 @@ def fit(texts: list[str], given: set[str], epochs: int = 5, rate: float = 0.3, d
             feats = [x.feats for x in g]
             if (n + ep) % 3 == 0:  # hide the list of given names now and then, so unlisted ones can be learned
                 feats = [[f.replace("known1", "known0") for f in x] for x in feats]
+            if (n + ep) % 6 == 0:  # and the ending too, so that context alone can speak for a name
+                feats = [[KNOWN.sub(":known0lo", f) for f in x] for x in feats]
             score = [sum(w[f] for f in fs) for fs in feats]
             for x, fs, p in zip(g, feats, _marginals(g, score)):
                 d = step * ((1.0 if x.gold else 0.0) - p)
@@ -393,12 +415,19 @@ def fit(texts: list[str], given: set[str], epochs: int = 5, rate: float = 0.3, d
                     for f in fs:
                         w[f] += d - step * decay * w[f]
     model.weights = {f: v for f, v in w.items() if abs(v) > 1e-3}
+    model.reach = {form: _reach(form, model.weights) for form in ("gf", "fg", "f,g")}
     return model
 
 
-def find(text: str, model: Model, cache: dict[str, bool]) -> list[Span]:
+def _reach(form: str, weights: dict[str, float]) -> float:
+    """Bound of the score of a name whose given name is not listed and whose ending is no surname's."""
+    fixed = sum(weights.get(f, 0.0) for f in ("n", f"n:{form}", "n:known0lo", f"n:{form}:known0lo"))
+    return fixed + sum(max([0.0] + [v for f, v in weights.items() if f.startswith(x)]) for x in ("n:given-sur", "n:fam-given", "n:mid", "n:w=", "n:prev", "n>"))
+
+
+def find(text: str, model: Model) -> list[Span]:
     out: list[Span] = []
-    for g in clusters(candidates(text, model, cache)):
+    for g in clusters(candidates(text, model)):
         out += best(g, model.weights)
     return sorted(out, key=lambda x: x.start)
 
@@ -414,7 +443,8 @@ def train(docs: DataFrame, names: DataFrame, doc: str = "doc_id", text: str = "t
     d = docs.select(F.col(doc).alias("id"), F.col(text).alias("t")).filter("length(t) > 0")
     n = max(1, docs.select(doc).count())
     rows = d.filter(F.pmod(F.xxhash64("id", F.lit("pii")), F.lit(1 << 20)) < int(bound * (1 << 20) / n) + 1).select("t").distinct().collect()
-    return fit(sorted(r[0] for r in rows), given_names(names))
+    given = given_names(names)
+    return fit(sorted(r[0] for r in rows), given, surname_endings(docs, given, text))
 
 
 def _mapped(docs: DataFrame, model: Model, doc: str, text: str, fn, schema: str, names: list[str]) -> DataFrame:
@@ -422,11 +452,10 @@ def _mapped(docs: DataFrame, model: Model, doc: str, text: str, fn, schema: str,
     d = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
 
     def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, bool] = {}
         for rows in it:
             cols: list[list] = [[] for _ in names]
             for i, t in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()):
-                for out in fn(i, t, bc.value, cache):
+                for out in fn(i, t, bc.value):
                     for c, v in zip(cols, out):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], rows.column("doc_id").type), *(pa.array(c, pa.string()) for c in cols[1:])], names)
@@ -440,8 +469,8 @@ def found(docs: DataFrame, names: DataFrame, doc: str = "doc_id", text: str = "t
     Null and empty texts and an empty list of names are allowed; repeated rows give their values once."""
     model = model or train(docs, names, doc, text)
 
-    def fn(i, t, m, cache):
-        return {(i, x.kind, t[x.start : x.end]) for x in find(t, m, cache)} if t else ()
+    def fn(i, t, m):
+        return {(i, x.kind, t[x.start : x.end]) for x in find(t, m)} if t else ()
 
     return _mapped(docs, model, doc, text, fn, "pii_kind string, pii_value string", ["doc_id", "pii_kind", "pii_value"]).distinct()
 
@@ -450,11 +479,11 @@ def redact(docs: DataFrame, names: DataFrame, doc: str = "doc_id", text: str = "
     """``doc_id, text``: every row with its personal data replaced by ``[EMAIL]``, ``[PHONE]`` and so on; null stays null."""
     model = model or train(docs, names, doc, text)
 
-    def fn(i, t, m, cache):
+    def fn(i, t, m):
         if not t:
             return [(i, t)]
         out, at = [], 0
-        for x in find(t, m, cache):
+        for x in find(t, m):
             out += [t[at : x.start], f"[{x.kind.upper()}]"]
             at = x.end
         return [(i, "".join(out) + t[at:])]

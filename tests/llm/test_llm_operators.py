@@ -318,6 +318,19 @@ def test_personal_data_on_held_out_texts(spark):
     assert pii.found(docs, names.filter("false")).filter("pii_kind = 'email'").count() == 120
 
 
+def test_names_whose_given_name_and_ending_are_unknown_or_rare(spark):
+    rows, _ = pii_rows(120)
+    far = [(500, "It was Alice Queslamp who came.\nAlice Norlamp too."), (501, "The page was written by Zorvek Tarlamp. Nothing else."), (502, "The page was written by Zorvek Quidde. Nothing else.")]
+    docs = spark.createDataFrame(rows + far, "doc_id bigint, text string")
+    names = spark.createDataFrame([(g, "en") for g, _ in PERSONS], "given_name string, lang_code string")
+    given = pii.given_names(names)
+    endings = pii.surname_endings(docs, given)
+    model = pii.fit([t for _, t in rows], given, endings)  # the documents that hold the rare ending are not in the sample
+    assert model.surname("Tarlamp") >= 0.3 and model.surname("Street") == 0
+    got = {tuple(x) for x in pii.found(docs.filter("doc_id > 500"), names, model=model).collect()}
+    assert got == {(501, "name", "Zorvek Tarlamp"), (502, "name", "Zorvek Quidde")}
+
+
 def test_segmentation_is_the_best_of_all():
     r = random.Random(9)
     for _ in range(100):
