@@ -7,12 +7,24 @@ import json
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from corpusmill.operators import votes
 
 
+#: Rows of a report that is held on the driver; larger frames are rejected, never cut.
+MAX_ROWS = 10_000
+
+
+def _rows(df: DataFrame, limit: int | None = None) -> list[Row]:
+    limit = MAX_ROWS if limit is None else limit
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows")
+    return rows
+
+
 def annotation_name(stem: str, model: str, prompt: str, lang: str, suffix: str = "") -> str:
     parts = [stem, "_annotations", model.replace("/", "--"), prompt, lang]
     return "_".join([*parts, suffix] if suffix else parts) + ".jsonl"
@@ -40,9 +52,10 @@ def aggregated_scores(raw: DataFrame, scores: DataFrame, path: str, strategy: st
     raw: ``file_path, doc_id, line_no``. Returns the files left out because a document had no annotation.
     """
     j = votes.join_scores(raw, scores).join(raw, ["file_path", "doc_id"])
+    left_out = sorted(r[0] for r in _rows(j.filter("not complete").select("file_path").distinct()))
     ok = j.filter("complete").select("file_path", "line_no", F.col("doc_id").alias("id"), F.coalesce(F.col("score").cast("string"), F.lit("invalid")).alias("score"), F.lit(strategy).alias("aggregation_type"))
     ordered_json(ok, path, ["file_path"], ["line_no"])
-    return sorted(r[0] for r in j.filter("not complete").select("file_path").distinct().limit(10_000).collect())
+    return left_out
 
 
 def append_hashes(new: DataFrame, path: str) -> None:
@@ -60,8 +73,12 @@ def drop_field(df: DataFrame, field: str) -> DataFrame:
 
 
 def json_report(df: DataFrame, path: str) -> None:
-    """A small frame as a JSON list, keys in column order."""
-    Path(path).write_text(json.dumps([r.asDict(recursive=True) for r in df.limit(100_000).collect()], ensure_ascii=False, indent=2, default=str), encoding="utf-8")
+    """A frame of any size as a JSON list, keys in column order; its rows pass through the driver a partition at a time."""
+    with open(path, "w", encoding="utf-8") as f:
+        n = 0
+        for n, r in enumerate(df.toLocalIterator(), 1):
+            f.write(("[\n  " if n == 1 else ",\n  ") + json.dumps(r.asDict(recursive=True), ensure_ascii=False, indent=2, default=str).replace("\n", "\n  "))
+        f.write("\n]" if n else "[]")
 
 
 def pair_metrics_json(metrics: DataFrame, cm: DataFrame | None, folder: str) -> list[str]:
@@ -80,16 +97,16 @@ def pair_metrics_json(metrics: DataFrame, cm: DataFrame | None, folder: str) ->
     return sorted(out)
 
 
-def markdown(df: DataFrame, limit: int = 10_000) -> str:
-    rows = df.limit(limit).collect()
+def markdown(df: DataFrame, limit: int | None = None) -> str:
+    rows = _rows(df, limit)
     cell = lambda v: f"{v:.4f}" if isinstance(v, float) else "" if v is None else str(v)
     head = "| " + " | ".join(df.columns) + " |\n|" + " --- |" * len(df.columns) + "\n"
     return head + "".join("| " + " | ".join(cell(v) for v in r) + " |\n" for r in rows)
 
 
-def latex(df: DataFrame, best: dict[str, str], limit: int = 10_000) -> str:
+def latex(df: DataFrame, best: dict[str, str], limit: int | None = None) -> str:
     """A tabular whose best values (``max`` or ``min`` per column) are bold."""
-    rows = df.limit(limit).collect()
+    rows = _rows(df, limit)
     top = {c: (max if how == "max" else min)((r[c] for r in rows if r[c] is not None), default=None) for c, how in best.items()}
     esc = lambda v: f"{v:.3f}" if isinstance(v, float) else "" if v is None else str(v).replace("_", r"\_")
     body = "".join(" & ".join(rf"\textbf{{{esc(r[c])}}}" if c in top and r[c] is not None and r[c] == top[c] else esc(r[c]) for c in df.columns) + " \\\\\n" for r in rows)
@@ -105,5 +122,5 @@ def experiment_report(df: DataFrame, config: str, folder: str) -> tuple[str, str
     Path(folder).mkdir(parents=True, exist_ok=True)
     md, cs = (Path(folder) / f"comparison_{config_digest(config)}.{x}" for x in ("md", "csv"))
     md.write_text(markdown(df), encoding="utf-8")
-    df.limit(10_000).toPandas().to_csv(cs, index=False)
+    df.limit(MAX_ROWS).toPandas().to_csv(cs, index=False)  # markdown has rejected more
     return str(md), str(cs)

@@ -259,3 +259,18 @@ def test_entry_without_the_optional_subpackage():
     from corpusmill.plans import catalog
 
     assert set(catalog.ORACLE) <= set(catalog.QUERIES) <= set(e.queries())
+
+
+def test_reports_hold_all_rows_or_fail(spark, tmp_path):
+    sinks.json_report(spark.range(100_001), str(tmp_path / "r.json"))
+    assert [r["id"] for r in json.loads((tmp_path / "r.json").read_text())] == list(range(100_001))
+    sinks.json_report(spark.createDataFrame([("a", [1])], "x string, y array<int>"), str(tmp_path / "s.json"))
+    assert (tmp_path / "s.json").read_text() == json.dumps([{"x": "a", "y": [1]}], indent=2)
+    sinks.json_report(spark.range(0), str(tmp_path / "e.json"))
+    assert (tmp_path / "e.json").read_text() == "[]"
+    more = spark.range(10_001)
+    raw = more.select(F.col("id").cast("string").alias("file_path"), F.lit("d").alias("doc_id"), F.lit(1).alias("line_no"))
+    scores = spark.createDataFrame([], "raw_data_file_path string, doc_id string, score double")
+    for fn in (sinks.markdown, lambda d: sinks.latex(d, {"id": "max"}), lambda d: sinks.experiment_report(d, "c", str(tmp_path)), lambda d: sinks.aggregated_scores(raw, scores, str(tmp_path / "a"), "mean")):
+        with pytest.raises(ValueError, match="more than 10000 rows"):
+            fn(more)
