@@ -46,17 +46,17 @@ STREETS_FR = r"(?:rue|avenue|av\.|boulevard|bd|chemin|place|impasse|allée|quai|
 
 SP = r"[  ]+"
 CAP = r"[^\W\d_a-zà-öø-ÿ][\w'’\-]*"
-HOUSE = r"\d{1,4}(?:[  ]?[a-zA-Z]\b)?(?:/\d{1,4}[a-z]?)?"
+HOUSE = r"\d{1,4}(?:[  ]?[a-zA-Z]\b)?(?:/\d{1,4}[a-z]?)?(?:[\-–]\d{1,4}[a-zA-Z]?(?!\w|[\-–.]\d))?"
 ADDRESSES = [re.compile(p) for p in (
     rf"(?<![\w.])\d{{1,4}}[a-zA-Z]?{SP}(?:{CAP}{SP}){{1,3}}{STREETS_AFTER}(?!\w)",
     rf"(?<!\w)(?:(?:An der|An den|Am|Auf der|In der|Im|Zum|Zur|Unter den|Hinter der)\s)?{CAP}?{STREETS_JOINED}{SP}{HOUSE}(?!\w)",
     rf"(?<!\w)(?:{CAP}[ -])(?:Straße|Strasse|Str\.|Weg|Allee|Platz|Gasse|Straat|Laan|Ring|Damm|Ufer){SP}{HOUSE}(?!\w)",
-    rf"(?<!\w){STREETS_BEFORE}{SP}{ARTICLES}{CAP}(?:{SP}{CAP}){{0,2}},?{SP}(?:(?:n\.|nº|n°|no\.|nr|núm\.|numero){SP}?)?{HOUSE}(?!\w)",
-    rf"(?<![\w.])\d{{1,4}}(?:{SP}?(?:bis|ter|quater)|[a-zA-Z])?,?{SP}{STREETS_FR}{SP}(?:(?:de|du|des|la|le|les){SP}|de{SP}la{SP}|de{SP}l['’]|d['’]|l['’])*{CAP}(?:{SP}{CAP})?(?!\w)",
+    rf"(?<!\w){STREETS_BEFORE}{SP}{ARTICLES}{CAP}(?:{SP}{CAP}){{0,2}},?{SP}(?:(?:n\.|nº|n°|no\.|nr|núm\.|numero)(?:{SP})?)?{HOUSE}(?!\w)",
+    rf"(?<![\w.])\d{{1,4}}(?:(?:{SP})?(?:bis|ter|quater)|[a-zA-Z])?,?{SP}{STREETS_FR}{SP}(?:(?:de|du|des|la|le|les){SP}|de{SP}la{SP}|de{SP}l['’]|d['’]|l['’])*{CAP}(?:{SP}{CAP})?(?!\w)",
 )]
-HOUSE_NUMBER = re.compile(r"(?<![\w.,\-])\d{1,4}(?!\d|[.,\-]\d)")
+NUMBER_AFTER_BLANK = re.compile(r"(?<=[  ])\d")
 JOINED_ENDS = tuple("straße strasse str. weg gasse platz allee ufer brücke damm markt straat laan gracht plein kade singel steeg pad hof ring dijk graben steig wall tor".split())
-BEFORE_WORDS = frozenset(y for x in "calle c/ avenida avda. av. plaza pza. paseo camino ronda travesía via viale corso piazza vicolo largo ul. ulica al. aleja os. pl. plac rua travessa praça".split() for y in (x, x.capitalize()))
+BEFORE_STEMS = tuple("alle C/ venida vda. v. laza za. aseo amino onda ravesía ia orso iazza icolo argo ul. lica al. leja os. pl. lac Rua Travessa Praça".split())  # what each of STREETS_BEFORE holds
 HAS_DIGIT = re.compile(r"[0-9]")
 AT_SIGN = re.compile(r"@|[\[(][  ]?(?:at|AT|At|a)[  ]?[\])]")
 AT_WORD = re.compile(r"(?<=[  ])(?:at|AT|arroba|chiocciola|małpa)(?=[  ][^\n]{1,60}[  ](?:dot|DOT|punto|point|kropka|punt|Punkt)[  ])")
@@ -64,7 +64,11 @@ DOT_WORDS = tuple(f" {w} " for w in "dot DOT punto point kropka punt Punkt".spli
 LOCAL = re.compile(r"[\w](?:[\w.+\-]*[\w])?[  ]?$")
 DOT = r"(?:\.|[  ]?[\[(][  ]?(?:dot|DOT|Dot)[  ]?[\])][  ]?|[  ](?:dot|DOT|Dot|punto|point|kropka|punt|Punkt)[  ])"
 DOMAIN = re.compile(rf"[  ]?[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:{DOT}[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?)+")
-NUMBER = re.compile(r"(?:(?<!\w)[A-Z]{2,3}[  ](?:[A-Z]{2,3}[  ])?)?(?<!\w)(?:\+|\()?[A-Z0-9]*[0-9][A-Z0-9]*\)?(?:(?:[  ]?\(\d{1,4}\)[  ]?|[  .\-/])[A-Z0-9]+){0,9}(?!\w)")
+NUMBER = re.compile(r"(?:(?<!\w)[A-Z]{2,3}[  ](?:[A-Z]{2,3}[  ])?)?(?<!\w)(?:\+|\()?[A-Z0-9]*[0-9][A-Z0-9]*\)?(?:(?:[  ]?\(\d{1,4}\)[  ]?|[  .\-/])[A-Z0-9]+)*(?!\w)")
+DATE_BEFORE = re.compile(r"(?:^|[^0-9])(?:\d{1,2}[./\-]\d{1,2}[./\-](?:\d{4}|\d{2})|\d{4}-\d{2}-\d{2})[  ]\(?$")
+DATE_AFTER = re.compile(r"\)?[  ](?:\d{1,2}[./\-]\d{1,2}[./\-](?:\d{4}|\d{2})|\d{4}-\d{2}-\d{2})(?!\d)")
+#: Cuts of a run of groups at its ends, words in capitals or dates.
+WHOLE = tuple(a + b for a in "0wd" for b in "0wd")
 WORDS_BEFORE = re.compile(r"[^\W\d_]+")
 GIVEN_SIDE = re.compile(rf"({CAP})((?:{SP}[^\W\d_a-z]\.)?{SP}{PARTICLES}*)({CAP})")
 FAMILY_FIRST = re.compile(rf"({PARTICLES}*{CAP}),{SP}({CAP})")
@@ -90,6 +94,8 @@ class Model:
     given: frozenset = frozenset()
     #: By form, the highest score that a pair without a listed given name or a surname ending can reach.
     reach: dict[str, float] = field(default_factory=dict)
+    #: The part of it that the word before can give.
+    lead: float = 0.0
 
     def surname(self, word: str) -> float:
         """Share of the forms with this word's longest known ending that stand as surnames, down to the next of ``LEVELS``."""
@@ -131,9 +137,13 @@ def _numbers(text: str, lo: int, hi: int) -> Iterator[Span]:
             continue
         cuts = [(x.start(), x.end()) for x in re.finditer(r"[A-Z0-9]+", raw)]
         n = len(cuts)
+        numeric = [HAS_DIGIT.search(raw, a, b) is not None for a, b in cuts]
         seen = set()
-        for i in range(min(3, n)):
-            for j in range(n, max(i, n - 3), -1):
+        for i in range(n):
+            last = i + 1
+            while last < n and sum(b - a for a, b in cuts[i : last + 1]) <= 17:
+                last += 1
+            for j in range(last, i, -1):
                 s = cuts[i][0]
                 e = cuts[j - 1][1]
                 if i == 0 and raw[:s] in ("+", "("):
@@ -149,7 +159,9 @@ def _numbers(text: str, lo: int, hi: int) -> Iterator[Span]:
                 a, b = m.start() + s, m.start() + e
                 words = _before(text, a)
                 shape = _shape(v)
-                part = f"{int(i > 0)}{int(j < n)}"
+                left = "0" if i == 0 else "w" if numeric[i] and not numeric[i - 1] else "d" if numeric[i] and DATE_BEFORE.search(raw, max(0, s - 14), s) else "1"
+                right = "0" if j == n else "w" if numeric[j - 1] and not numeric[j] else "d" if numeric[j - 1] and DATE_AFTER.match(raw, e) else "1"
+                part = left + right
                 around = _around(text, a, b)
                 digits = _digits(v)
                 for kind in ("phone", "id_number"):
@@ -178,24 +190,16 @@ def _emails(text: str) -> Iterator[Span]:
 
 
 def _addresses(text: str, lo: int, hi: int) -> Iterator[Span]:
-    """Forms are only tried at what can be a house number, and only those whose street word is in sight."""
+    """A form is tried on a line with a digit whenever what it can't do without is there."""
     found: dict[tuple[int, int], tuple[int, re.Match]] = {}
-    for n in HOUSE_NUMBER.finditer(text, lo, hi):
-        at = n.start()
-        for i in (0, 4):
-            if m := ADDRESSES[i].match(text, at, hi):
-                found.setdefault((m.start(), m.end()), (i, m))
-        left = max(lo, at - 70)
-        words = text[left:at].split()
-        if not words:
+    line = text[lo:hi]
+    joined = any(line[: n.start()].rstrip("  ")[-8:].lower().endswith(JOINED_ENDS) for n in NUMBER_AFTER_BLANK.finditer(line))
+    before = any(x in line for x in BEFORE_STEMS)
+    for i, form in enumerate(ADDRESSES):
+        if (i in (1, 2) and not joined) or (i == 3 and not before):
             continue
-        forms = (1, 2) if words[-1].lower().endswith(JOINED_ENDS) else ()
-        if not BEFORE_WORDS.isdisjoint(words):
-            forms += (3,)
-        for i in forms:
-            for m in ADDRESSES[i].finditer(text, text.rfind(" ", lo, left) + 1 or lo, min(hi, n.end() + 12)):
-                if m.start() < at < m.end():
-                    found.setdefault((m.start(), m.end()), (i, m))
+        for m in form.finditer(text, lo, hi):
+            found.setdefault((m.start(), m.end()), (i, m))
     for i, m in found.values():
         words = _before(text, m.start())
         after = text[m.end() : m.end() + 2]
@@ -206,10 +210,18 @@ def _is_given(word: str, model: Model) -> bool:
     return word in model.given or word.title() in model.given or word.capitalize() in model.given
 
 
+def _reachable(text: str, at: int, form: str, model: Model) -> bool:
+    most = model.reach.get(form)
+    if most is None or most <= 0:
+        return most is None
+    words = _before(text, at)
+    return most - model.lead + model.weights.get(f"n:w={words[-1] if words else ''}", 0.0) > 0
+
+
 def _names(text: str, model: Model) -> Iterator[Span]:
     """Pairs of capitalised words. Those that neither list nor ending speaks for are left to their context; where the
     field's weights keep every such pair below zero, the best segmentation can't hold it and it is not built."""
-    surname, reach = model.surname, model.reach
+    surname = model.surname
     pos = 0
     while m := GIVEN_SIDE.search(text, pos):
         pos = m.start(3)
@@ -224,7 +236,7 @@ def _names(text: str, model: Model) -> Iterator[Span]:
             if form == "fg" and middle:
                 continue
             known, sur = _is_given(g, model), surname(f)
-            if known or sur >= 0.3 or reach.get(form, 1.0) > 0:
+            if known or sur >= 0.3 or _reachable(text, m.start(), form, model):
                 yield _name_span(text, m.start(), end, form, known, sur, model, g, f, middle)
     pos = 0
     while m := FAMILY_FIRST.search(text, pos):
@@ -233,7 +245,7 @@ def _names(text: str, model: Model) -> Iterator[Span]:
         if g.lower() in TITLES:
             continue
         known, sur = _is_given(g, model), surname(f)
-        if known or sur >= 0.3 or reach.get("f,g", 1.0) > 0:
+        if known or sur >= 0.3 or _reachable(text, m.start(), "f,g", model):
             yield _name_span(text, m.start(), m.start(2) + len(g), "f,g", known, sur, model, g, f, " " in m.group(1))
 
 
@@ -326,9 +338,9 @@ def _label(text: str, spans: list[Span], model: Model) -> None:
         tail = re.split(r"[.!?] ", lead)[-1] if not re.search(r"(?i)(\bno|\bnr|\btel|tél|\bn)\. ?$", lead) else lead
         if x.kind == "email" or (x.kind == "address" and "a:colon0" in x.feats and lead.strip()):
             x.gold = True
-        elif x.kind == "id_number" and STRONG_ID.search(tail) and not any(c.isdigit() for c in tail[-3:]) and "i:cut00" in x.feats:
+        elif x.kind == "id_number" and STRONG_ID.search(tail) and not any(c.isdigit() for c in tail[-3:]) and any(f"i:cut{c}" in x.feats for c in WHOLE):
             x.gold = not re.match(r"(?:DNI|BSN|NIE|NIF|PESEL|ID)\b", v)
-        elif x.kind == "phone" and "p:alpha0" in x.feats and "p:cut00" in x.feats and (STRONG_PHONE.search(lead) or re.search(r"[^\W\d_]\s*[|;:\t]\s*$", lead) and line_start >= x.start - 45 and not STRONG_ID.search(lead) and "<w" not in x.feats):
+        elif x.kind == "phone" and "p:alpha0" in x.feats and any(f"p:cut{c}" in x.feats for c in WHOLE) and (STRONG_PHONE.search(lead) or re.search(r"[^\W\d_]\s*[|;:\t]\s*$", lead) and line_start >= x.start - 45 and not STRONG_ID.search(lead) and "<w" not in x.feats):
             x.gold = STRONG_PHONE.search(lead) is not None or bool(re.match(rf"{CAP}", lead)) and 1 <= lead.count(" ") <= 4 and not re.search(r"(?i)order|isbn|item|version", lead)
         elif x.kind == "name" and ("n:known1hi" in x.feats or "n:known1mid" in x.feats or ("n:gf:known1lo" in x.feats and text[x.end : x.end + 2].strip(" ")[:1] in ("|", ";", ":", "\t"))):
             x.gold = True
@@ -416,6 +428,7 @@ def fit(texts: list[str], given: set[str], endings: dict[str, float], epochs: in
                         w[f] += d - step * decay * w[f]
     model.weights = {f: v for f, v in w.items() if abs(v) > 1e-3}
     model.reach = {form: _reach(form, model.weights) for form in ("gf", "fg", "f,g")}
+    model.lead = max([0.0] + [v for f, v in w.items() if f.startswith("n:w=")])
     return model
 
 

@@ -331,6 +331,16 @@ def test_names_whose_given_name_and_ending_are_unknown_or_rare(spark):
     assert got == {(501, "name", "Zorvek Tarlamp"), (502, "name", "Zorvek Quidde")}
 
 
+def test_every_group_of_a_run_and_every_written_address_is_a_candidate():
+    spans = lambda t: {(x.kind, t[x.start : x.end]) for x in pii.candidates(t, pii.Model())}
+    assert ("phone", "0170 1234567") in spans("Am 12.05.2024 0170 1234567 anrufen")
+    assert ("phone", "030 1234567") in spans("Call 030 1234567 FOR MORE INFO")
+    assert ("phone", "0170 1234567") in spans("1 2 3 4 5 6 7 8 9 10 11 12 0170 1234567")
+    for t, a in (("(Via Roma 12)", "Via Roma 12"), ('"Calle Mayor 5"', "Calle Mayor 5"), ("x Calle Mayor, nº12, y", "Calle Mayor, nº12"), ("in Via Roma n.12", "Via Roma n.12"), ("in der Hauptstraße 12-14, Ort", "Hauptstraße 12-14"), ("(Hauptstraße 5)", "Hauptstraße 5")):
+        assert ("address", a) in spans(t), t
+    assert len(pii.candidates("1234 " * 3000, pii.Model())) < 3000 * 17 * 2
+
+
 def test_segmentation_is_the_best_of_all():
     r = random.Random(9)
     for _ in range(100):
