@@ -1,52 +1,73 @@
 """Texts of evaluation splits that also stand, the same or lightly edited, in the training split.
 
 Texts become word sequences (case, accents, punctuation, spacing and invisible characters do not count) and exact copies
-collapse to classes. An evaluation sequence is cut into disjoint segments of ``SEGMENT`` words; with at most k edits in fewer than
-all segments, one of them stands unchanged in the training sequence at nearly the same place. So segments are joined with
-the training sequences' substrings on their hash, positions must agree within the allowed shift, and candidates are
-verified by banded dynamic programming over words, many pairs at a time.
+collapse to classes. An evaluation sequence of n words is cut into disjoint segments; as long as fewer words change than
+k = floor(MAX_EDITS n), any k + 1 of its segments hold one that stands unchanged in the training sequence, not further from
+its place than moved words can shift it. Which k + 1 are matched is free, so the segments are counted among the training
+substrings and the rarest are taken: sentence forms that very many texts share are left aside without losing a pair. The chosen
+segments are joined with the training substrings at the allowed positions, and candidates are verified by banded
+dynamic programming over words, many pairs at a time.
+
+Training substrings are held back by a bitmap of the wanted keys (of bounded size; it only saves work) before anything is shuffled.
 """
 
 from __future__ import annotations
 
+import re
+import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.wordtable import cut
 
-#: Segment lengths in words for longer texts and for texts under SHORT words.
-SEGMENT, SHORT_SEGMENT, SHORT = 6, 2, 24
-#: Share of a text's words that may differ, in order and (for moved passages) regardless of it.
-MAX_EDITS, MAX_MOVED, MAX_SHIFT = 0.15, 0.5, 0.3
+#: Segment length in words; texts of SHORTEST words or one more have shorter ones, still shorter texts only pair when they are equal.
+SEGMENT, SHORT_SEGMENT, SHORTEST = 4, 3, 6
+#: Share of the words that may be changed, added or missing, and share that may stand elsewhere (passages are moved as a whole).
+MAX_EDITS, MAX_MOVED = 0.15, 0.25
+#: Up to LONG words, segments enough for a fifth of broken ones are matched: in short texts moved words, which break two each, weigh more.
+LONG, MOVED_SHORT = 64, 0.2
+#: Bound of the bitmap of wanted keys. More keys make it let through more, never less.
+MAX_FILTER_BITS = 1 << 28
+CHUNK = 4096
+#: Numbers that a batch of verified pairs holds in a row of the table.
+CELLS = 1 << 21
 
 
-def word_list(text: str) -> list[str]:
-    import regex
+@lru_cache(maxsize=2)
+def _ignored(lo: int, hi: int) -> re.Pattern:
+    """Marks and format characters of a range; a class within the first plane is one look-up a character."""
+    return re.compile("[" + "".join(re.escape(chr(c)) for c in range(lo, hi) if unicodedata.category(chr(c)) in ("Mn", "Cf")) + "]+")
+
 
-    t = unicodedata.normalize("NFKD", text).casefold()
-    t = regex.sub(r"[\p{Mn}\p{Cf}]+", "", t)
-    return regex.findall(r"[\p{L}\p{N}]+", t)
+_WORD = re.compile(r"[^\W_]+")
+
+
+def word_list(text: str) -> list[str]:
+    if text.isascii():
+        return _WORD.findall(text.lower())
+    t = _ignored(0, 1 << 16).sub("", unicodedata.normalize("NFKD", text).casefold())
+    return _WORD.findall(_ignored(1 << 16, sys.maxunicode + 1).sub("", t) if max(t, default="") > "\uffff" else t)
 
 
 _HASH: dict[str, int] = {}
 
 
 def _word_ids(words: list[str]) -> np.ndarray:
+    """32-bit hashes of words."""
     import xxhash
 
     if len(_HASH) > 2_000_000:
         _HASH.clear()
-    get, out = _HASH.get, np.empty(len(words), np.int64)
-    for i, w in enumerate(words):
-        h = get(w)
-        if h is None:
-            h = _HASH[w] = xxhash.xxh3_64_intdigest(w) & 0x7FFFFFFFFFFFFFFF
-        out[i] = h
-    return out
+    for w in words:
+        if w not in _HASH:
+            _HASH[w] = xxhash.xxh3_64_intdigest(w) & 0x7FFFFFFF
+    return np.fromiter((_HASH[w] for w in words), np.int32, len(words))
 
 
 def _windows(ids: np.ndarray, size: int) -> np.ndarray:
@@ -62,35 +83,82 @@ def _windows(ids: np.ndarray, size: int) -> np.ndarray:
     return acc.astype(np.int64)
 
 
-def _segments(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    size = SEGMENT if len(ids) >= SHORT else SHORT_SEGMENT
-    keys = _windows(ids, size)
-    at = np.arange(0, len(keys), size)
-    if len(keys) and at[-1] != len(keys) - 1:
-        at = np.append(at, len(keys) - 1)
-    return keys[at], at
-
-
-def _substrings(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = [], []
-    for size, use in ((SEGMENT, len(ids) >= SHORT * 2 // 3), (SHORT_SEGMENT, len(ids) < SHORT * 3 // 2)):
-        if use:
-            k = _windows(ids, size)
-            keys.append(k)
-            at.append(np.arange(len(k)))
-    return (np.concatenate(keys), np.concatenate(at)) if keys else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
-def banded_distance(a: list[np.ndarray], b: list[np.ndarray], limit: np.ndarray) -> np.ndarray:
+def chosen_segments(n: int) -> int:
+    """How many segments of a text of n words are matched: one more than edits may break (a training text may be longer by them)."""
+    return int((MOVED_SHORT * n if n <= LONG else MAX_EDITS * int(n / (1 - MAX_EDITS) + 1e-9)) + 1e-9) + 1
+
+
+def _keys(flat: np.ndarray, off: np.ndarray, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, row, position) of all segments (side b) or substrings (side a) of the sequences ``flat[off[r] : off[r + 1]]``."""
+    size = np.diff(off)
+    row = np.repeat(np.arange(len(size)), size)
+    pos = np.arange(len(flat)) - off[:-1][row]
+    n = size[row]
+    keys, rows, at = [], [], []
+    for q in (SEGMENT, SHORT_SEGMENT):
+        w = _windows(flat, q)
+        p, m = pos[: len(w)], n[: len(w)]
+        if side == "b":
+            ok = (p % q == 0) & ((m > SHORTEST + 1) if q == SEGMENT else (m >= SHORTEST) & (m <= SHORTEST + 1))
+        else:
+            ok = (m > SHORTEST) if q == SEGMENT else (m >= SHORTEST) & (m <= SHORTEST + 2)
+        ok &= p + q <= m
+        keys.append(w[ok])
+        rows.append(row[: len(w)][ok])
+        at.append(p[ok])
+    return np.concatenate(keys), np.concatenate(rows), np.concatenate(at)
+
+
+def _sequences(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Word ids of a binary column, one behind the other, and where each row begins."""
+    off = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+    if off[-1] == off[0]:
+        return np.zeros(0, np.int32), off * 0
+    return np.frombuffer(col.buffers()[2], np.uint8)[off[0] : off[-1]].view("<i4"), (off - off[0]) // 4
+
+
+def _bits(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    k = keys.view(np.uint64)
+    return (k & np.uint64(bits - 1)).astype(np.int64), ((k >> np.uint64(32)) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def _passes(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    a, b = _bits(keys, len(filter_) * 8)
+    return ((filter_[a >> 3] >> (a & 7).astype(np.uint8)) & (filter_[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def key_filter(df: DataFrame, of_batch, n_keys: int) -> np.ndarray:
+    """Bitmap of the keys that ``of_batch`` (record batch to int64 array) finds in ``df``: every partition makes its own, the JVM joins them."""
+    bits = 1 << 20
+    while bits < min(16 * n_keys, MAX_FILTER_BITS):
+        bits *= 2
+
+    def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(bits // 8, np.uint8)
+        for rows in it:
+            for x in _bits(of_batch(rows), bits):
+                np.bitwise_or.at(own, x >> 3, np.uint8(1) << (x & 7).astype(np.uint8))
+        own = own.reshape(-1, CHUNK)
+        some = np.flatnonzero(own.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([own[i].tobytes() for i in some], pa.binary())], ["chunk", "bitmap"])
+
+    out = np.zeros((bits // 8 // CHUNK, CHUNK), np.uint8)
+    rows = df.mapInArrow(part, "chunk int, bitmap binary").groupBy("chunk").agg(F.expr("bitmap_or_agg(bitmap)").alias("bitmap")).collect()  # MAX_FILTER_BITS / 8 bytes at most
+    for r in rows:
+        out[r["chunk"]] = np.frombuffer(bytes(r["bitmap"]), np.uint8)
+    return out.ravel()
+
+
+def banded_distance(a: list[np.ndarray], b: list[np.ndarray], limit: np.ndarray, band: np.ndarray | None = None) -> np.ndarray:
     """Word edit distances of many pairs at once, exact up to each pair's limit, larger than it beyond.
 
-    Cell (i, d) compares the first i words of a with the first i + d - K of b, in a band of K = max(limit) on both sides. A whole row
-    of all pairs is one step; insertions along a row are a running minimum.
+    Cell (i, d) compares the first i words of a with the first i + d - K of b, in a band of K on both sides (the limit, or the largest
+    ``band``: then exact where no path leaves it, never too small). A whole row of all pairs is one step; insertions along a row are a running minimum.
     """
     m = len(a)
     if not m:
         return np.zeros(0, np.int64)
-    K = int(limit.max()) + 1
+    K = int((limit if band is None else band).max()) + 1
     la, lb = np.array([len(x) for x in a]), np.array([len(x) for x in b])
     A = np.full((m, max(1, la.max())), -1, np.int64)
     B = np.full((m, max(1, lb.max()) + 2 * K + la.max() + 1), -2, np.int64)
@@ -101,7 +169,7 @@ def banded_distance(a: list[np.ndarray], b: list[np.ndarray], limit: np.ndarray)
     off = np.arange(width) - K
     cur = np.where(off >= 0, off, big)[None, :].repeat(m, 0).astype(np.int64)
     cur = np.where(off[None, :] > lb[:, None], big, cur)
-    out = np.where(la == 0, lb, big).astype(np.int64)
+    out = np.where((la == 0) & (lb <= K), lb, big).astype(np.int64)
     for i in range(1, int(la.max()) + 1):
         sub = cur + (B[:, i - 1 : i - 1 + width] != A[:, i - 1 : i])
         dele = np.concatenate([cur[:, 1:], np.full((m, 1), big)], 1) + 1
@@ -122,7 +190,7 @@ def banded_distance(a: list[np.ndarray], b: list[np.ndarray], limit: np.ndarray)
     return out
 
 
-def _same(a: np.ndarray, b: np.ndarray) -> bool | None:
+def _same_words(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether the multisets of words differ by few enough; cheap, and necessary for any light edit."""
     ua, ca = np.unique(a, return_counts=True)
     ub, cb = np.unique(b, return_counts=True)
@@ -131,72 +199,133 @@ def _same(a: np.ndarray, b: np.ndarray) -> bool | None:
     return max(len(a), len(b)) - common <= MAX_EDITS * max(len(a), len(b))
 
 
-def _verify(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in it:
-        keep = [r for r, (x, y) in enumerate(zip(pdf["wa"], pdf["wb"])) if _same(np.asarray(x), np.asarray(y))]
-        pdf = pdf.iloc[keep]
-        order = np.argsort([max(len(x), len(y)) for x, y in zip(pdf["wa"], pdf["wb"])], kind="stable")
-        pdf = pdf.iloc[order]
-        for lo in range(0, len(pdf), 256):
-            p = pdf.iloc[lo : lo + 256]
-            a, b = [np.asarray(x) for x in p["wa"]], [np.asarray(x) for x in p["wb"]]
-            longest = np.array([max(len(x), len(y)) for x, y in zip(a, b)])
-            # words agree as a multiset, so a larger distance can only come from moved passages
-            limit = np.floor(MAX_MOVED * longest).astype(int)
-            d = banded_distance(a, b, limit)
-            ok = d <= limit
-            yield pd.DataFrame({"ca": p["ca"].to_numpy()[ok], "cb": p["cb"].to_numpy()[ok], "distance": d[ok].astype("int64")})
+def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without their common beginning and end, which no distance needs."""
+    n = min(len(a), len(b))
+    diff = np.flatnonzero(a[:n] != b[:n])
+    lo = diff[0] if len(diff) else n
+    diff = np.flatnonzero(a[::-1][: n - lo] != b[::-1][: n - lo])
+    hi = diff[0] if len(diff) else n - lo
+    return a[lo : len(a) - hi], b[lo : len(b) - hi]
 
 
-def _classes(rows: DataFrame) -> DataFrame:
-    """``id, side, cls, ids``: distinct records with the class of their word sequence (texts without any word: of the text)."""
+def light_edits(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Edit distance of every pair that is a light edit, -1 for the others.
 
-    def part(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
+    Two sequences are one when at most MAX_EDITS of the longer one's words are no common words (whatever their places), and the edit
+    distance, in which a moved word counts as a missing and an added one, is at most twice MAX_MOVED. The band is as wide as moved words can shift others.
+    """
+    out = np.full(len(a), -1, np.int64)
+    longest = np.array([max(len(x), len(y)) for x, y in zip(a, b)], np.int64)
+    keep = [i for i in np.argsort(longest, kind="stable") if _same_words(a[i], b[i])]
+    at = 0
+    while at < len(keep):
+        end = at + 1
+        while end < len(keep) and (end + 1 - at) * longest[keep[end]] <= CELLS:
+            end += 1
+        who = keep[at:end]
+        cut_ = [_trimmed(a[i], b[i]) for i in who]
+        limit = np.floor(2 * MAX_MOVED * longest[who] + 1e-9).astype(int)
+        d = banded_distance([x for x, _ in cut_], [y for _, y in cut_], limit, np.floor(MAX_MOVED * longest[who] + 1e-9).astype(int))
+        for i, x, top in zip(who, d, limit):
+            if x <= top:
+                out[i] = x
+        at = end
+    return out
 
-        for pdf in it:
-            out = []
-            for rid, side, t in zip(pdf["id"], pdf["side"], pdf["text"]):
-                w = word_list(t)
-                if not w and not t.strip():
-                    continue
-                out.append((rid, side, xxhash.xxh3_128_hexdigest("\x1f".join(w) if w else "\x1e" + "".join(t.split())), _word_ids(w).tolist()))
-            yield pd.DataFrame(out, columns=["id", "side", "cls", "ids"])
 
-    return rows.mapInPandas(part, "id string, side string, cls string, ids array<bigint>")
+def _verify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in it:
+        words = [np.frombuffer(x.as_buffer(), "<i4") for c in ("wa", "wb") for x in rows.column(c)]
+        n = rows.num_rows
+        d = light_edits(words[:n], words[n:])
+        ok = pa.array(d >= 0)
+        yield pa.RecordBatch.from_arrays([rows.column("ca").filter(ok), rows.column("cb").filter(ok), pa.array(d[d >= 0])], ["ca", "cb", "distance"])
 
 
-def _keys(fn):
-    def part(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            pairs = [fn(np.asarray(x, np.int64)) for x in pdf["ids"]]
-            yield pd.DataFrame({"cls": pdf["cls"], "n": [len(x) for x in pdf["ids"]], "key": [k.tolist() for k, _ in pairs], "pos": [p.astype("int32").tolist() for _, p in pairs]})
+def _parsed(rows: DataFrame) -> DataFrame:
+    """``row, id, side, cls, ids``: records with a number, the class of their word sequence (texts without any word: of the text) and its word ids."""
 
-    return part
+    def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 40
+        for batch in it:
+            keep, cls, ids = [], [], []
+            for r, t in enumerate(batch.column("text").to_pylist()):
+                w = word_list(t)
+                if not w and not t.strip():
+                    continue
+                keep.append(r)
+                cls.append(xxhash.xxh3_128_digest("\x1f".join(w) if w else "\x1e" + "".join(t.split())))
+                ids.append(_word_ids(w).tobytes())
+            take = pa.array(keep, pa.int32())
+            number = pa.array(np.arange(row, row + len(keep)), pa.int64())
+            row += len(keep)
+            yield pa.RecordBatch.from_arrays([number, batch.column("id").take(take), batch.column("side").take(take), pa.array(cls, pa.binary()), pa.array(ids, pa.binary())], ["row", "id", "side", "cls", "ids"])
+
+    return rows.mapInArrow(part, "row bigint, id string, side string, cls binary, ids binary")
+
+
+def _spread(classes: DataFrame, side: str, wanted: np.ndarray | None = None, only_keys: bool = False) -> DataFrame:
+    """``c<side>, n<side>, key, p<side>`` of all segments or substrings (or their keys alone) that pass the bitmap."""
+    bc = classes.sparkSession.sparkContext.broadcast(wanted) if wanted is not None else None  # MAX_FILTER_BITS at most
+
+    def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in it:
+            flat, off = _sequences(rows.column("ids"))
+            key, row, pos = _keys(flat, off, side)
+            if bc is not None:
+                ok = _passes(bc.value, key)
+                key, row, pos = key[ok], row[ok], pos[ok]
+            cols = {"key": pa.array(key)}
+            if not only_keys:
+                cols |= {"c" + side: rows.column("cls").take(pa.array(row)), "n" + side: pa.array(np.diff(off)[row].astype(np.int32)), "p" + side: pa.array(pos.astype(np.int32))}
+            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+
+    return classes.select("cls", "ids").mapInArrow(part, "key bigint" + ("" if only_keys else f", c{side} binary, n{side} int, p{side} int"))
+
+
+def _need(n: Column) -> Column:
+    """``chosen_segments`` as a column."""
+    return F.floor(F.when(n <= LONG, n * MOVED_SHORT).otherwise(F.floor(n / (1 - MAX_EDITS) + 1e-9) * MAX_EDITS) + 1e-9) + 1
+
+
+def candidates(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``ca, cb``: pairs of classes (``cls, ids`` each) with a common segment at allowed places among the rarest of the evaluation text."""
+    n_keys = b.agg(F.coalesce(F.sum(F.length("ids") / 4 / SEGMENT), F.lit(0))).first()[0]
+    wanted = key_filter(b.select("ids"), lambda rows: _keys(*_sequences(rows.column("ids")), "b")[0], int(n_keys))
+    freq = _spread(a, "a", wanted, only_keys=True).groupBy("key").agg(F.count("*").alias("freq"))
+    seg = _spread(b, "b").join(freq, "key")  # segments that stand nowhere in training are the rarest: they fill the choice first, and match nothing
+    of = seg.groupBy("cb", "nb").agg(F.sort_array(F.collect_list(F.struct("freq", "key", "pb"))).alias("s"))  # a text's own segments
+    nowhere = F.floor(F.col("nb") / F.when(F.col("nb") > SHORTEST + 1, SEGMENT).otherwise(SHORT_SEGMENT)) - F.size("s")
+    left = F.greatest(_need(F.col("nb")) - nowhere, F.lit(0)).cast("int")
+    chosen = of.select("cb", "nb", F.explode(F.slice("s", F.lit(1), left)).alias("s")).select("cb", "nb", "s.key", "s.pb")
+    chosen = cut(chosen)
+    again = key_filter(chosen.select("key"), lambda rows: rows.column("key").to_numpy(zero_copy_only=False), chosen.count())
+    sub = _spread(a, "a", again)
+    longer = F.greatest("na", "nb")
+    near = (F.abs(F.col("pa") - F.col("pb")) <= longer * MAX_MOVED + 1) & (F.abs(F.col("na") - F.col("nb")) <= longer * MAX_EDITS) & (F.col("ca") != F.col("cb"))
+    return chosen.join(sub, "key").filter(near).select("ca", "cb").distinct()
 
 
 def class_links(docs: DataFrame, id: str = "id", text: str = "text", split: str = "split", train: str = "train", evaluation: tuple[str, ...] = ("val", "test")) -> tuple[DataFrame, DataFrame]:
     """(members, links): records with their class, and pairs of an evaluation class with a training class
     that are equal (distance 0) or lightly edited."""
     rows = docs.select(F.col(id).cast("string").alias("id"), F.when(F.col(split) == train, "a").when(F.col(split).isin(*evaluation), "b").alias("side"), F.col(text).alias("text"))
-    rows = rows.filter("side is not null and id is not null and length(text) > 0").distinct()
-    members = _classes(rows).persist()
-    cls = members.groupBy("side", "cls").agg(F.max_by("ids", "id").alias("ids"))
-    sides = {s: cls.filter(F.col("side") == s).select("cls", "ids") for s in "ab"}
-    kind = "cls string, n int, key array<bigint>, pos array<int>"
-
-    def spread(side: str, fn) -> DataFrame:
-        k = sides[side].filter("size(ids) > 0").mapInPandas(_keys(fn), kind)
-        return k.select(F.col("cls").alias("c" + side), F.col("n").alias("n" + side), F.explode(F.arrays_zip("key", "pos")).alias("z")).select("c" + side, "n" + side, F.col("z.key").alias("key"), F.col("z.pos").alias("p" + side))
-
-    seg, sub = spread("b", _segments), spread("a", _substrings)
-    longer = F.greatest("na", "nb")
-    near = (F.abs(F.col("pa") - F.col("pb")) <= longer * MAX_SHIFT + 1) & (F.abs(F.col("na") - F.col("nb")) <= longer * MAX_EDITS) & (F.col("ca") != F.col("cb"))
-    cand = seg.join(sub, "key").filter(near).select("ca", "cb").distinct()
-    pairs = cand.join(sides["a"].select(F.col("cls").alias("ca"), F.col("ids").alias("wa")), "ca").join(sides["b"].select(F.col("cls").alias("cb"), F.col("ids").alias("wb")), "cb")
-    edited = pairs.mapInPandas(_verify, "ca string, cb string, distance bigint")
-    equal = sides["a"].select(F.col("cls").alias("ca")).join(sides["b"].select(F.col("cls").alias("cb")), F.col("ca") == F.col("cb")).select("ca", "cb", F.lit(0).cast("bigint").alias("distance"))
-    return members.drop("ids"), equal.unionByName(edited)
+    parsed = cut(_parsed(rows.filter("side is not null and id is not null and length(text) > 0")))
+    # one record stands for each class; only classes with copies have to be looked up, and a group of copies is counted before it is shuffled
+    copies = parsed.groupBy("side", "cls").agg(F.min("row").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    one = parsed.filter("length(ids) > 0").join(copies, ["side", "cls"], "left").filter("first is null or first = row").select("side", "cls", "ids")
+    one = cut(one)
+    a, b = (one.filter(F.col("side") == s).select("cls", "ids") for s in "ab")
+    pairs = candidates(a, b).join(a.select(F.col("cls").alias("ca"), F.col("ids").alias("wa")), "ca").join(b.select(F.col("cls").alias("cb"), F.col("ids").alias("wb")), "cb")
+    edited = pairs.mapInArrow(_verify, "ca binary, cb binary, distance bigint").distinct()
+    members = parsed.select("id", "side", "cls").distinct()
+    cls = lambda s: members.filter(F.col("side") == s).select(F.col("cls").alias("c" + s)).distinct()
+    equal = cls("a").join(cls("b"), F.col("ca") == F.col("cb")).select("ca", "cb", F.lit(0).cast("bigint").alias("distance"))
+    return members, equal.unionByName(edited)
 
 
 def pairs(docs: DataFrame, **how) -> DataFrame:
@@ -225,4 +354,4 @@ def report(docs: DataFrame, source: str = "source", **how) -> DataFrame:
     return p.groupBy("split", "source", "train_source").agg(F.count("*").alias("n_pairs"), F.countDistinct("eval_id").alias("n_eval"), F.count_if(F.col("distance") == 0).alias("n_exact"))
 
 
-__all__ = ["banded_distance", "class_links", "found", "pairs", "report", "word_list"]
+__all__ = ["banded_distance", "chosen_segments", "class_links", "found", "light_edits", "pairs", "report", "word_list"]

@@ -180,6 +180,33 @@ def test_overlaps_between_splits(spark):
     assert overlap.found(df.filter("false")).count() == 0
 
 
+def test_edits_within_the_bound_are_always_found_and_agree_with_all_pairs(spark):
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(4))
+    forms = [[word() for _ in range(8)] for _ in range(6)]  # sentence forms that all texts share
+    rows = []
+    for i in range(120):
+        n = r.choice([7, 8, 14, 20, 27, 33, 34, 47, 64, 65, 90])
+        base = [w for f in r.choices(forms, k=n // 16) for w in f]
+        base += [word() for _ in range(n - len(base))]
+        new = list(base)
+        for at in r.sample(range(n), int(overlap.MAX_EDITS * n)):
+            kind = r.random()
+            new[at] = word() if kind < 0.6 else "" if kind < 0.8 else new[at] + " " + word()
+        rows += [(f"t{i}", " ".join(base), "train"), (f"e{i}", " ".join(w for w in new if w), "val")]
+    got = {tuple(x) for x in overlap.found(spark.createDataFrame(rows, "id string, text string, split string")).collect()}
+    seq = {i: overlap._word_ids(overlap.word_list(t)) for i, t, _ in rows}
+    pairs = [(a, b) for a in seq for b in seq if a[0] == "t" and b[0] == "e"]
+    ok = overlap.light_edits([seq[a] for a, _ in pairs], [seq[b] for _, b in pairs])
+    assert got == {tuple(sorted(p)) for p, d in zip(pairs, ok) if d >= 0} and len(got) >= 110
+
+
+def test_bitmap_lets_through_all_wanted_keys_and_little_else(spark):
+    keys = np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 20_000)
+    f = overlap.key_filter(spark.createDataFrame([(int(k),) for k in keys[:5000]], "key bigint").repartition(3), lambda b: b.column("key").to_numpy(), 5000)
+    assert overlap._passes(f, keys[:5000]).all() and overlap._passes(f, keys[5000:]).mean() < 0.05
+
+
 # ------------------------------------------------------------------------------------------------- tokens, encode, pack
 
 TEXTS = [None, "", " ", "Hello world, it's 2024!\n\n  Grüße   ﬁn 😀 日本語", "a" * 5000, "x y " * 3000, "'s 'RE <|endoftext|>", "a\x1cb c​d"]
