@@ -142,6 +142,15 @@ with e as ({_ELIGIBLE}), n as (select count(*) as total from e), c as (
     and (t.score_min is null or e.score >= t.score_min) and (t.score_max is null or e.score < t.score_max)
   group by t.plan_name, t.cell_no)
 """
+_DRAW = f"""
+with e as ({_ELIGIBLE}), n as (select count(*) as total from e),
+t as (select *, row_number() over (partition by plan_name order by cell_no) as place, max(sample_pct) over (partition by plan_name) as pct from (select distinct * from sample_targets)),
+r as (select t.plan_name, t.cell_no, t.place, t.target_pct, t.min_docs, t.pct, e.document_id, row_number() over (partition by t.plan_name, t.cell_no order by md5('42:' || e.document_id), e.document_id) as cell_rank
+  from t join e on (t.lang_code is null or e.lang = t.lang_code) and (t.score_min is null or e.score >= t.score_min) and (t.score_max is null or e.score < t.score_max)),
+q as (select *, cell_rank <= min_docs as floor, row_number() over (partition by plan_name order by cell_rank > min_docs, case when cell_rank > min_docs then (cell_rank - 0.5::double) / target_pct end, place, cell_rank) as seat
+  from r where target_pct > 0 or cell_rank <= min_docs),
+d as (select plan_name, cell_no, document_id, cell_rank::bigint as cell_rank from q, n where floor or seat <= pct * total // 100)
+"""
 _CUT = f"""
 with e as (select document_id, lang as lang_code, score from ({_ELIGIBLE})),
 c as (select lang_code, score, count(*) n from e group by 1, 2),
@@ -160,9 +169,17 @@ r as (select c.site, c.norm from c join s using (site) where c.n >= 5 and c.n *
 
 ORACLE: dict[str, str] = {
     "p2_found": _CELLS + "select plan_name, cell_no from c, n where have * 10000 < target_pct * sample_pct * total or have < min_docs",
+    "p2_sample": _DRAW + "select * from d",
+    "p2_report": _CELLS.rstrip() + ", " + _DRAW.replace(f"with e as ({_ELIGIBLE}), n as (select count(*) as total from e),", "", 1).strip()
+    + ", g as (select plan_name, cell_no, count(*) as drawn from d group by 1, 2) select c.plan_name, c.cell_no, have as available, (target_pct * sample_pct * total)::double / 10000 as wanted, coalesce(drawn, 0)::bigint as drawn, "
+    "have * 10000 >= target_pct * sample_pct * total as target_met, have >= min_docs as minimum_met from n, c left join g using (plan_name, cell_no)",
     "p3_found": _CUT + "select distinct e.lang_code, e.document_id from e join k using (lang_code) where e.score >= k.cutoff",
     "p3_cutoffs": _CUT + "select lang_code, keep_pct::double as keep_pct, n_docs::bigint as n_docs, cutoff, n_kept::bigint as n_kept from k",
+    "p3_closest": _CUT + ", nx as (select k.lang_code, min(u.score) as s, max(u.up) filter (u.score > k.cutoff) as up from k left join u on u.lang_code = k.lang_code and u.score > k.cutoff group by 1), "
+    "w as (select k.*, nx.s, nx.up, coalesce(abs(nx.up - k.keep_pct * k.n_docs / 100.0::double) < abs(k.n_kept - k.keep_pct * k.n_docs / 100.0::double), false) as other from k join nx using (lang_code)) "
+    "select lang_code, keep_pct::double as keep_pct, n_docs::bigint as n_docs, case when other then s else cutoff end as cutoff, (case when other then up else n_kept end)::bigint as n_kept from w",
     "p7_found": _LINES + "select distinct m.document_id, m.line_no::bigint as line_no from m join r using (site, norm)",
+    "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }
 
 __all__ = ["ORACLE", "QUERIES"]

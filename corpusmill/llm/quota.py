@@ -11,7 +11,7 @@ from __future__ import annotations
 import heapq
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import hash_order, recorded_language, row_key, valid_score
@@ -35,51 +35,27 @@ def read_cells(targets: DataFrame) -> list[dict]:
     return sorted((r.asDict() for r in rows), key=lambda r: (r["plan_name"], r["cell_no"]))
 
 
-def _in_cell(cell: dict, lang: Column, score: Column) -> Column:
-    c = F.lit(True)
-    if cell["lang_code"] is not None:
-        c = c & (lang == cell["lang_code"])
-    if cell["score_min"] is not None:
-        c = c & (score >= cell["score_min"])
-    if cell["score_max"] is not None:
-        c = c & (score < cell["score_max"])
-    return c
+def _cell_frame(spark: SparkSession, cells: list[dict], extra: dict[str, list] | None = None) -> DataFrame:
+    """The cells by their index, with the key under which records look for them (a language or ``*``)."""
+    extra = extra or {}
+    rows = [(i, c["lang_code"] if c["lang_code"] is not None else "*", c["score_min"], c["score_max"], c["plan_name"], c["cell_no"], *(v[i] for v in extra.values())) for i, c in enumerate(cells)]
+    return spark.createDataFrame(rows, "cell int, key string, score_min double, score_max double, plan_name string, cell_no bigint" + "".join(f", {k} bigint" for k in extra))
 
 
-def _cells_of(cells: list[dict]) -> Column:
-    """Array of the indexes of the cells a record lies in (NULLs removed)."""
-    lang, score = F.col("lang"), F.col("score")
-    return F.array_compact(F.array(*[F.when(_in_cell(c, lang, score), F.lit(i)) for i, c in enumerate(cells)]))
+def _in_cells(records: DataFrame, cells: DataFrame) -> DataFrame:
+    """Records with each of the cells they lie in. The cells are broadcast: ``MAX_CELLS`` rows at most."""
+    d = records.withColumn("key", F.explode(F.array(F.col("lang"), F.lit("*"))))
+    inside = (F.col("score_min").isNull() | (F.col("score") >= F.col("score_min"))) & (F.col("score_max").isNull() | (F.col("score") < F.col("score_max")))
+    return d.join(F.broadcast(cells), "key").filter(inside)
 
 
 def cell_counts(docs: DataFrame, cells: list[dict]) -> tuple[int, dict[int, int]]:
     """Number of eligible records and of those in each cell, from counts by language and distinct score."""
     compact = eligible(docs).groupBy("lang", "score").agg(F.count("*").alias("n")).persist()
     total = compact.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    per: dict[int, int] = {}
-    for lo in range(0, len(cells), 500):
-        part = cells[lo : lo + 500]
-        rows = compact.select(F.explode(_cells_of(part)).alias("i"), "n").groupBy("i").agg(F.sum("n").alias("n")).collect()
-        per |= {lo + r["i"]: r["n"] for r in rows}
+    rows = _in_cells(compact, _cell_frame(docs.sparkSession, cells)).groupBy("cell").agg(F.sum("n").alias("n")).collect() if cells else []
     compact.unpersist()
-    return total, per
-
-
-def unmet(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """``plan_name, cell_no`` of the cells that hold fewer records than their share of the sample or their minimum.
-
-    With N eligible records and c in the cell: ``c * 10000 < target_pct * sample_pct * N or c < min_docs``. NULL targets
-    count as 0. Empty targets give no rows; with no eligible records every cell with a minimum is unmet.
-    """
-    spark = docs.sparkSession
-    cells = read_cells(targets)
-    total, per = cell_counts(docs, cells)
-    bad = [
-        (c["plan_name"], c["cell_no"])
-        for i, c in enumerate(cells)
-        if per.get(i, 0) * 10000 < (c["target_pct"] or 0) * (c["sample_pct"] or 0) * total or per.get(i, 0) < (c["min_docs"] or 0)
-    ]
-    return spark.createDataFrame(bad, "plan_name string, cell_no bigint")
+    return total, {r["cell"]: r["n"] for r in rows}
 
 
 def seats(counts: list[int], weights: list[float], minimum: list[int], size: int) -> list[int]:
@@ -123,6 +99,16 @@ def plan_seats(cells: list[dict], total: int, per: dict[int, int]) -> dict[int,
     return out
 
 
+def _drawn(docs: DataFrame, cells: list[dict], got: dict[int, int], seed: int) -> DataFrame:
+    info = _cell_frame(docs.sparkSession, cells, {"seats": [got[i] for i in range(len(cells))]})
+    d = _in_cells(eligible(docs).withColumn("h", hash_order(seed, "document_id")), info).select("cell", "plan_name", "cell_no", "seats", "document_id", "k", "h", F.substring("h", 1, 3).alias("r"))
+    sizes = d.groupBy("cell", "seats", "r").agg(F.count("*").alias("n"))
+    before = sizes.select("cell", "seats", "r", (F.sum("n").over(Window.partitionBy("cell").orderBy("r")) - F.col("n")).alias("before"))  # 4096 rows a cell
+    start = before.filter("before < seats").select("cell", "r", "before")  # ranges wholly beyond the seats are not ranked
+    ranked = d.join(start, ["cell", "r"]).withColumn("cell_rank", F.col("before") + F.row_number().over(Window.partitionBy("cell", "r").orderBy("h", "document_id", "k")))
+    return ranked.filter("cell_rank <= seats").select("cell", "plan_name", "cell_no", "document_id", F.col("cell_rank").cast("bigint").alias("cell_rank"))
+
+
 def sample(docs: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
     """``plan_name, cell_no, document_id, cell_rank``: the drawn records of every plan.
 
@@ -130,29 +116,33 @@ def sample(docs: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
     seeded hash order. They are built from 4096 hash ranges per cell (a count per range, then a row number inside it), so
     that no cell, however large, is sorted in one task.
     """
-    spark = docs.sparkSession
     cells = read_cells(targets)
-    total, per = cell_counts(docs, cells)
-    got = plan_seats(cells, total, per)
     if not cells:
-        return spark.createDataFrame([], "plan_name string, cell_no bigint, document_id string, cell_rank bigint")
-    h = hash_order(seed, "document_id")
-    d = eligible(docs).select("document_id", "k", h.alias("h"), F.explode(_cells_of(cells)).alias("cell")).withColumn("r", F.substring("h", 1, 3))
-    sizes = d.groupBy("cell", "r").agg(F.count("*").alias("n"))
-    before = sizes.select("cell", "r", (F.sum("n").over(Window.partitionBy("cell").orderBy("r")) - F.col("n")).alias("before"))
-    info = spark.createDataFrame([(i, c["plan_name"], c["cell_no"], got[i]) for i, c in enumerate(cells)], "cell int, plan_name string, cell_no bigint, seats bigint")
-    start = before.join(F.broadcast(info), "cell").filter("before < seats")  # ranges wholly beyond the seats are not ranked
-    ranked = d.join(start, ["cell", "r"]).withColumn("cell_rank", F.col("before") + F.row_number().over(Window.partitionBy("cell", "r").orderBy("h", "document_id", "k")))
-    return ranked.filter("cell_rank <= seats").select("plan_name", "cell_no", "document_id", F.col("cell_rank").cast("bigint").alias("cell_rank"))
+        return docs.sparkSession.createDataFrame([], "plan_name string, cell_no bigint, document_id string, cell_rank bigint")
+    return _drawn(docs, cells, plan_seats(cells, *cell_counts(docs, cells)), seed).drop("cell")
 
 
-def report(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """One row per cell: records available, wanted, drawn, and whether target and minimum were met."""
-    cells = read_cells(targets)
+def report(docs: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
+    """One row per cell: records available, wanted, drawn by ``sample``, and whether target and minimum can be met.
+
+    With N eligible records and c in the cell, the target can be met unless ``c * 10000 < target_pct * sample_pct * N`` and the minimum unless
+    ``c < min_docs``. NULL targets count as 0. Empty targets give no rows; with no eligible records every cell with a minimum is unmet.
+    """
+    spark, cells = docs.sparkSession, read_cells(targets)
+    schema = "plan_name string, cell_no bigint, available bigint, wanted double, drawn bigint, target_met boolean, minimum_met boolean"
+    if not cells:
+        return spark.createDataFrame([], schema)
     total, per = cell_counts(docs, cells)
-    got = plan_seats(cells, total, per)
-    rows = []
-    for i, c in enumerate(cells):
-        have, t, s, m = per.get(i, 0), c["target_pct"] or 0, c["sample_pct"] or 0, c["min_docs"] or 0
-        rows.append((c["plan_name"], c["cell_no"], have, t * s * total / 10000, got[i], have * 10000 >= t * s * total, have >= m))
-    return docs.sparkSession.createDataFrame(rows, "plan_name string, cell_no bigint, available bigint, wanted double, drawn bigint, target_met boolean, minimum_met boolean")
+    drawn = _drawn(docs, cells, plan_seats(cells, total, per), seed).groupBy("cell").agg(F.count("*").alias("drawn"))
+    wanted = [(c["target_pct"] or 0) * (c["sample_pct"] or 0) * total for c in cells]
+    info = _cell_frame(spark, cells, {"available": [per.get(i, 0) for i in range(len(cells))], "wanted": wanted, "least": [c["min_docs"] or 0 for c in cells]})
+    r = info.join(drawn, "cell", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
+    # what was drawn falls short wherever a cell can't be met; whether it could have been more is checked behind it
+    short, few = F.col("drawn") * 10000 < F.col("wanted"), F.col("drawn") < F.col("least")
+    target = ~(short & (F.col("available") * 10000 < F.col("wanted")))
+    return r.select("plan_name", "cell_no", "available", (F.col("wanted") / 10000).alias("wanted"), "drawn", target.alias("target_met"), (~(few & (F.col("available") < F.col("least")))).alias("minimum_met"))
+
+
+def unmet(docs: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
+    """``plan_name, cell_no`` of the cells whose sample falls short of target or minimum because they hold too few records."""
+    return report(docs, targets, seed).filter("not target_met or not minimum_met").select("plan_name", "cell_no")
