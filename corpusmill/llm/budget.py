@@ -1,9 +1,8 @@
 """Token counts per document and token budgets per slice.
 
-Two kinds of vocabulary are counted, both once per distinct word of the word table: byte-level BPE by its merges, and
-unigram vocabularies by a Viterbi pass over a double-array trie that keeps only the length of the best path. The public
-vocabularies at hand are BPE, for whose counts a best unigram path is no substitute; so the reported counts
-of ``byte_bpe_50k`` come from its merges, and the unigram path serves vocabularies of scored pieces.
+Every distinct word of the word table is counted once, by a Viterbi pass over a double-array trie of the vocabulary's pieces that keeps only
+the length of the best path per end. Unigram vocabularies weigh paths by their pieces' scores. A byte-level BPE vocabulary has no scores: there
+a path is right if no two neighbours would merge otherwise, which exactly one path is, so the same pass gives the tokenizer's own counts.
 """
 
 from __future__ import annotations
@@ -22,8 +21,8 @@ class DoubleArrayTrie:
 
     def __init__(self, pieces: list[bytes], scores: list[float]):
         tree: list[dict[int, int]] = [{}]
-        leaf: dict[int, float] = {}
-        for p, s in zip(pieces, scores):
+        leaf: dict[int, int] = {}
+        for n, p in enumerate(pieces):
             at = 0
             for b in p:
                 nxt = tree[at].get(b)
@@ -31,10 +30,10 @@ class DoubleArrayTrie:
                     nxt = tree[at][b] = len(tree)
                     tree.append({})
                 at = nxt
-            if at:
-                leaf[at] = max(s, leaf.get(at, -1e30))
+            if at and (at not in leaf or scores[n] > scores[leaf[at]]):
+                leaf[at] = n
         size = 2 * len(tree) + 600
-        base, check, score = [0] * size, [-1] * size, [float("nan")] * size
+        base, check, piece = [0] * size, [-1] * size, [-1] * size
         check[0] = 0
         place, free, high, todo = {0: 0}, 257, 257, [0]  # lower slots would fit too few bytes
         for node in todo:
@@ -50,7 +49,7 @@ class DoubleArrayTrie:
                     n = len(check)
                     base += [0] * n
                     check += [-1] * n
-                    score += [float("nan")] * n
+                    piece += [-1] * n
                 if all(check[b + k + 1] == -1 for k, _ in kids):
                     break
                 b += 1
@@ -58,11 +57,24 @@ class DoubleArrayTrie:
             for k, child in kids:
                 at = b + k + 1
                 check[at], place[child], high = place[node], at, max(high, at)
-                score[at] = leaf.get(child, float("nan"))
+                piece[at] = leaf.get(child, -1)
                 todo.append(child)
-        self.base, self.check, self.score = base, check, score
+        self.base, self.check, self.piece = base, check, piece
+        self.scores = scores
         self.unknown = (min(scores) if scores else 0.0) - 10.0
 
+    def pieces_from(self, text: bytes, at: int) -> list[tuple[int, int]]:
+        """(end, piece) of every piece that begins at a place, shortest first."""
+        base, check, piece, out, s = self.base, self.check, self.piece, [], 0
+        for j in range(at, len(text)):
+            t = base[s] + text[j] + 1
+            if t >= len(check) or check[t] != s or t == 0:
+                break
+            s = t
+            if piece[s] >= 0:
+                out.append((j + 1, piece[s]))
+        return out
+
     def count(self, word: str) -> int:
         """Pieces on the best path over one segment; a character that no piece covers counts as one unknown piece."""
         text = word.encode()
@@ -70,7 +82,6 @@ class DoubleArrayTrie:
         best = [-1e300] * (n + 1)
         best[0] = 0.0
         steps = [0] * (n + 1)
-        base, check, score = self.base, self.check, self.score
         for i in range(n):
             here = best[i]
             if here == -1e300 or text[i] & 0xC0 == 0x80:
@@ -78,25 +89,72 @@ class DoubleArrayTrie:
             width = 1 + (text[i] >= 0xC0) + (text[i] >= 0xE0) + (text[i] >= 0xF0)
             if here + self.unknown > best[i + width]:
                 best[i + width], steps[i + width] = here + self.unknown, steps[i] + 1
-            s = 0
-            for j in range(i, n):
-                t = base[s] + text[j] + 1
-                if t >= len(check) or check[t] != s or t == 0:
-                    break
-                s = t
-                v = score[s]
-                if v == v and here + v > best[j + 1]:
-                    best[j + 1], steps[j + 1] = here + v, steps[i] + 1
+            for end, p in self.pieces_from(text, i):
+                v = here + self.scores[p]
+                if v > best[end]:
+                    best[end], steps[end] = v, steps[i] + 1
+        return steps[n]
+
+
+class MergePaths:
+    """Token counts of a byte-level BPE vocabulary by the same pass over the trie, without merging a word.
+
+    In place of scores, two pieces may follow each other on a path if merging their bytes leaves just these two. Every prefix of a word has
+    exactly one path of such pieces, and it is the tokenizer's: so the pass keeps, per end, the one last piece whose neighbour on the left is the last
+    piece of the path before it. Whether two pieces may meet is found out once per pair.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.bytes = [p for p, _ in sorted(ranks.items(), key=lambda x: x[1])]
+        self.ranks = ranks
+        self.trie = DoubleArrayTrie(self.bytes, [0.0] * len(self.bytes))
+        self.meet: dict[tuple[int, int], bool] = {}  # -1: nothing on the left
+
+    def _merged(self, text: bytes) -> list[bytes]:
+        """Merges of lowest rank first, over the bytes of two pieces."""
+        parts, rank = [text[i : i + 1] for i in range(len(text))], self.ranks
+        while len(parts) > 1:
+            at = min(range(len(parts) - 1), key=lambda i: rank.get(parts[i] + parts[i + 1], 1 << 40))
+            if parts[at] + parts[at + 1] not in rank:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    def may_meet(self, a: int, b: int) -> bool:
+        ok = self.meet.get((a, b))
+        if ok is None:
+            if len(self.meet) > 5_000_000:
+                self.meet.clear()
+            x, y = [self.bytes[a]] if a >= 0 else [], self.bytes[b]
+            ok = self.meet[a, b] = self._merged(b"".join(x) + y) == [*x, y]
+        return ok
+
+    def count(self, word: str) -> int:
+        """Tokens of one segment of the split."""
+        text = word.encode()
+        n = len(text)
+        last, steps = [-1] * (n + 1), [0] * (n + 1)
+        if text in self.ranks:  # a segment that is a piece is one token
+            return 1
+        for i in range(n):
+            left = last[i]
+            if i and left < 0:
+                continue
+            for end, p in self.trie.pieces_from(text, i):
+                if last[end] < 0 and self.may_meet(left, p):
+                    last[end], steps[end] = p, steps[i] + 1
         return steps[n]
 
 
-_TRIES: dict[tuple[str, str], DoubleArrayTrie] = {}
+_TRIES: dict[tuple[str, str], DoubleArrayTrie | MergePaths] = {}
 
 
-def _bpe_counts(name: str, folder: str):
+def _path_counts(name: str, folder: str):
     def fn(words: list[str]) -> list[int]:
-        enc = tokenizer.byte_bpe(name, folder)
-        return [len(enc.encode_ordinary(w)) for w in words]
+        paths = _TRIES.get((name, folder))
+        if paths is None:
+            paths = _TRIES[name, folder] = MergePaths(tokenizer.ranks(name, folder))
+        return [paths.count(w) for w in words]
 
     return fn
 
@@ -109,6 +167,8 @@ def _unigram_counts(name: str, folder: str):
         if trie is None:
             pieces, scores = tokenizer.pieces(name, folder)
             keep = [(p.encode(), s) for p, s in zip(pieces, scores) if not (p.startswith("<") and p.endswith(">") and len(p) > 2)]
+            if all(float(s).is_integer() for _, s in keep):
+                raise ValueError(f"{name} has merge ranks and no scores: it is no unigram vocabulary")
             trie = _TRIES[name, folder] = DoubleArrayTrie([p for p, _ in keep], [s for _, s in keep])
         return [trie.count(w.replace(" ", "▁")) if w.strip() else 0 for w in words]
 
@@ -117,7 +177,7 @@ def _unigram_counts(name: str, folder: str):
 
 def token_counts(docs: DataFrame, keys: list[str], text: str = "text", vocabulary: str = "byte_bpe_50k", kind: str = "bpe", folder: str = tokenizer.DEFAULT_DIR) -> DataFrame:
     """``<keys>, n_tokens``: one row per input row, without special tokens; null and empty texts have 0 tokens."""
-    fn = {"bpe": _bpe_counts, "unigram": _unigram_counts}[kind](vocabulary, folder)
+    fn = {"bpe": _path_counts, "unigram": _unigram_counts}[kind](vocabulary, folder)
     b = wordtable.blocks(docs, keys, text)
     values = wordtable.word_values(wordtable.distinct_words(b), fn, "int")
 

@@ -1,50 +1,89 @@
 """Lines that one site repeats over many of its documents.
 
-Lines are parsed into templates by a token tree of fixed depth: the first level is the number of tokens, the next levels
-are the leading tokens and the last one, tokens with digits and all tokens beyond that depth are wildcard slots. The
-place of a line in the tree depends on the line alone, so trees of partitions merge by adding up the documents of equal
-paths. Templates that cover too few documents of their site are dropped with all their lines; an exact count of the
-lines of the remaining templates follows, because a case is a line and not a template.
+Lines are parsed into templates by a token tree of fixed depth: site, number of tokens, and the leading tokens, of which those with digits are
+wildcard slots. Below a leaf the slots are learnt: a token that enough of the site's documents have at its place is part of the
+template, every other one is a slot ``<*>``; a line belongs to a template when at least half of its tokens are no slots. Leaves, and the tokens at
+their places, are counts, so the trees of partitions merge by adding up. Templates that cover enough documents of their site are the repeated
+ones. A case of the query is a line and not a template: an exact count of the lines in wide templates follows. No case is lost on the way, as the tokens
+of a line that enough documents have are themselves in enough documents.
+
+Texts are split once; the normalised lines of a document stay in one row until leaves that are wide enough are known.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import WS, lines_of, row_key, site_of
+from corpusmill.llm.common import lines_of, row_key, site_of
+from corpusmill.llm.wordtable import cut
 
 #: Leading tokens that are levels of the tree.
 DEPTH = 3
+SLOT = "<*>"
+_DIGITS = re.compile("[0-9]+")
+
+
+def same_line(line: str) -> str:
+    """Lower case, trimmed, white space runs as one blank, digit runs as one digit; empty without any letter."""
+    norm = " ".join(line.lower().split())
+    return _DIGITS.sub("0", norm) if any(map(str.isalpha, norm)) else ""
 
 
-def same_line(line: Column) -> Column:
-    """Lower case, trimmed, white space runs as one blank, digit runs as one digit."""
-    c = F.trim(F.regexp_replace(F.lower(line), WS, " "))
-    return F.regexp_replace(c, "[0-9]+", "0")
+def leaf_of(norm: str) -> int:
+    """64-bit id of a normalised line's leaf within its site: token count and leading tokens."""
+    import xxhash
 
+    head = [SLOT if "0" in t else t for t in norm.split(" ", DEPTH)[:DEPTH]]
+    return xxhash.xxh3_64_intdigest(f"{norm.count(' ')}\x1f" + "\x1f".join(head)) - (1 << 63)
 
-def has_letter(line: Column) -> Column:
-    return line.rlike(r"\p{L}")
 
+def parsed(docs: DataFrame, doc: str = "document_id", text: str = "text", url: str = "metadata.url") -> DataFrame:
+    """``document_id, k, site, lines``: one row per distinct document row of a site, with number, leaf and normalised form of its lines with letters."""
+    d = docs.select(F.col(doc).cast("string").alias("document_id"), row_key(docs).alias("k"), site_of(F.col(url)).alias("site"), F.col(text).alias("text")).filter("site is not null").dropDuplicates(["document_id", "k"])
+    kind = pa.list_(pa.struct([("line_no", pa.int64()), ("leaf", pa.int64()), ("norm", pa.string())]))
 
-def template_path(norm: Column) -> Column:
-    """64-bit id of a normalised line's leaf in the tree: token count, leading tokens, last token."""
-    tok = F.split(norm, " ")
-    slot = lambda i: F.coalesce(F.regexp_replace(F.get(tok, i), r"^.*[0-9].*$", "<*>"), F.lit(""))
-    return F.xxhash64(F.size(tok), *[slot(F.lit(i)) for i in range(DEPTH)], slot(F.size(tok) - 1))
+    def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in it:
+            out = []
+            for t in rows.column("text").to_pylist():
+                lines = [(i, norm) for i, x in enumerate(t.split("\n"), 1) if (norm := same_line(x))] if t else []
+                out.append([{"line_no": i, "leaf": leaf_of(norm), "norm": norm} for i, norm in lines])
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in ("document_id", "k", "site")), pa.array(out, kind)], ["document_id", "k", "site", "lines"])
 
+    return cut(d.mapInArrow(part, "document_id string, k bigint, site string, lines array<struct<line_no:bigint,leaf:bigint,norm:string>>"))
 
-def _numbered(docs: DataFrame, doc: str, text: str, url: str) -> DataFrame:
-    """One row per document row of a site: ids, row hash and its normalised lines (with letters) by line number."""
-    d = docs.select(F.col(doc).alias("document_id"), F.col(text).alias("text"), F.xxhash64(site_of(F.col(url))).alias("site"), site_of(F.col(url)).alias("host"), row_key(docs).alias("k"))
-    return d.filter("host is not null")
 
+def _candidates(docs: DataFrame, doc: str, text: str, url: str, min_docs: int, min_share: float) -> DataFrame:
+    """``document_id, k, site, line_no, norm, need, template``: the lines that belong to a template which enough documents have."""
+    p = parsed(docs, doc, text, url)
+    need = p.groupBy("site").agg(F.greatest(F.lit(float(min_docs)), F.count("*") * F.lit(min_share)).alias("need"))
+    leaves = p.select("site", F.explode(F.array_distinct(F.transform("lines", lambda x: x["leaf"]))).alias("leaf")).groupBy("site", "leaf").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs)
+    wide = leaves.join(need, "site").filter(F.col("n") >= F.col("need") - 1e-9).select("site", "leaf", "need")
+    e = cut(p.select("document_id", "k", "site", F.inline("lines")).join(wide, ["site", "leaf"]))
+    # distinct lines of a document count once for each of their tokens
+    places = e.dropDuplicates(["document_id", "k", "site", "norm"]).select("site", "leaf", "need", F.posexplode(F.split("norm", " ")).alias("i", "t"))
+    firm = places.groupBy("site", "leaf", "need", "i", "t").agg(F.count("*").alias("n")).filter(F.col("n") >= F.col("need") - 1e-9)
+    firm = firm.groupBy("site", "leaf").agg(F.collect_set(F.struct("i", "t")).alias("firm"))  # a place has at most lines / need of them
+    tok = F.transform(F.split("norm", " "), lambda x, i: F.when(F.array_contains(F.col("firm"), F.struct(i.alias("i"), x.alias("t"))), x).otherwise(SLOT))
+    m = e.join(firm, ["site", "leaf"]).withColumn("tok", tok)
+    m = m.filter(F.size(F.filter("tok", lambda x: x != SLOT)) * 2 >= F.size("tok")).select("document_id", "k", "site", "line_no", "norm", "need", F.array_join("tok", " ").alias("template"))
+    return m.join(_enough(m, "template"), ["site", "template"])
 
-def _lines(docs: DataFrame) -> DataFrame:
-    e = docs.filter("text is not null").select("document_id", "k", "site", F.posexplode(lines_of("text")).alias("pos", "line"))
-    e = e.filter(has_letter(F.col("line"))).select("document_id", "k", "site", (F.col("pos") + 1).cast("bigint").alias("line_no"), same_line(F.col("line")).alias("norm"))
-    return e.select("document_id", "k", "site", "line_no", template_path(F.col("norm")).alias("path"), F.xxhash64("norm").alias("line_hash"))
+
+def _enough(m: DataFrame, what: str) -> DataFrame:
+    """``site, <what>, n_docs`` of what enough documents have."""
+    n = m.select("site", what, "need", "document_id", "k").distinct().groupBy("site", what, "need").agg(F.count("*").alias("n_docs"))
+    return n.filter(F.col("n_docs") >= F.col("need") - 1e-9).drop("need")
+
+
+def _repeated(docs: DataFrame, doc: str, text: str, url: str, min_docs: int, min_share: float) -> DataFrame:
+    c = cut(_candidates(docs, doc, text, url, min_docs, min_share).drop("n_docs"))
+    return c.join(_enough(c, "norm").drop("n_docs"), ["site", "norm"])
 
 
 def repeated_lines(
@@ -59,42 +98,22 @@ def repeated_lines(
     return _repeated(docs, doc, text, url, min_docs, min_share).select("document_id", "line_no").distinct()
 
 
-def _repeated(docs: DataFrame, doc: str, text: str, url: str, min_docs: int, min_share: float) -> DataFrame:
-    d = _numbered(docs, doc, text, url)
-    size = d.select("site", "k").distinct().groupBy("site").agg(F.count("*").alias("site_docs"))
-    size = size.withColumn("need", F.greatest(F.lit(float(min_docs)), F.col("site_docs") * F.lit(min_share)))
-    lines = _lines(d)
-    # each row counts a template once; repeated rows may raise this count, never lower it
-    cover = lines.groupBy("site", "path", "k").agg(F.first("path").alias("p0")).groupBy("site", "path").agg(F.count("*").alias("cover"))
-    wide = cover.filter(F.col("cover") >= min_docs).join(size, "site").filter(F.col("cover") >= F.col("need") - 1e-9).select("site", "path", "need")
-    cand = lines.join(wide, ["site", "path"])
-    exact = cand.select("site", "line_hash", "need", "k").distinct().groupBy("site", "line_hash", "need").agg(F.count("*").alias("n"))
-    exact = exact.filter(F.col("n") >= F.col("need") - 1e-9).select("site", "line_hash")
-    return cand.join(exact, ["site", "line_hash"])
+def templates(docs: DataFrame, doc: str = "document_id", text: str = "text", url: str = "metadata.url", min_docs: int = 5, min_share: float = 0.1) -> DataFrame:
+    """``site, template, n_docs``: the templates that enough documents of their site have, with ``<*>`` for their slots."""
+    return _candidates(docs, doc, text, url, min_docs, min_share).select("site", "template", "n_docs").distinct()
 
 
-def templates(docs: DataFrame, doc: str = "document_id", text: str = "text", url: str = "metadata.url", min_docs: int = 5, min_share: float = 0.1) -> DataFrame:
-    """``site, template, n_docs``: the wide templates written out, with ``<*>`` in every slot where their lines differ."""
-    d = _numbered(docs, doc, text, url)
-    size = d.select("site", "host", "k").distinct().groupBy("site", "host").agg(F.count("*").alias("site_docs"))
-    e = d.filter("text is not null").select("k", "site", F.explode(lines_of("text")).alias("line")).filter(has_letter(F.col("line")))
-    e = e.select("k", "site", same_line(F.col("line")).alias("norm")).withColumn("path", template_path(F.col("norm")))
-    cover = e.groupBy("site", "path", "k").agg(F.first("path").alias("p0")).groupBy("site", "path").agg(F.count("*").alias("n_docs"))
-    wide = cover.filter(F.col("n_docs") >= min_docs).join(size, "site").filter(F.col("n_docs") >= F.col("site_docs") * min_share - 1e-9).select("site", "host", "path", "n_docs")
-    tok = e.select("site", "path", "norm").distinct().join(wide, ["site", "path"]).select("host", "path", "n_docs", F.posexplode(F.split("norm", " ")).alias("i", "t"))
-    slots = tok.groupBy("host", "path", "n_docs", "i").agg(F.min("t").alias("a"), F.max("t").alias("b"))
-    slots = slots.withColumn("t", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise("<*>"))
-    out = slots.groupBy("host", "path", "n_docs").agg(F.sort_array(F.collect_list(F.struct("i", "t"))).alias("s"))
-    return out.select(F.col("host").alias("site"), F.array_join(F.transform("s", lambda x: x["t"]), " ").alias("template"), "n_docs")
-
-
-def without_repeated(docs: DataFrame, doc: str = "document_id", text: str = "text", url: str = "metadata.url", min_docs: int = 5, min_share: float = 0.1) -> DataFrame:
+def without_repeated(
+    docs: DataFrame, doc: str = "document_id", text: str = "text", url: str = "metadata.url", min_docs: int = 5, min_share: float = 0.1, whole_templates: bool = False
+) -> DataFrame:
     """``document_id, text, n_removed``: each distinct document row with its repeated lines taken out.
 
-    Texts without such lines, null texts and documents without url come back unchanged with n_removed 0.
+    With ``whole_templates`` every line of a repeated template goes, so bylines and notices whose names or numbers change; without it the lines of
+    ``repeated_lines``. Texts without such lines, null texts and documents without url come back unchanged with n_removed 0.
     """
-    gone = _repeated(docs, doc, text, url, min_docs, min_share).groupBy("k").agg(F.collect_set("line_no").alias("gone"))
-    d = docs.select(F.col(doc).alias("document_id"), F.col(text).alias("text"), row_key(docs).alias("k")).distinct()
-    j = d.join(gone, "k", "left")
+    gone = _candidates(docs, doc, text, url, min_docs, min_share) if whole_templates else _repeated(docs, doc, text, url, min_docs, min_share)
+    gone = gone.groupBy("document_id", "k").agg(F.collect_set("line_no").alias("gone"))  # a document's own lines
+    d = docs.select(F.col(doc).cast("string").alias("document_id"), F.col(text).alias("text"), row_key(docs).alias("k")).distinct()
+    j = d.join(gone, ["document_id", "k"], "left")
     left = F.filter(lines_of("text"), lambda x, i: ~F.array_contains(F.col("gone"), (i + 1).cast("bigint")))
     return j.select("document_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text"), F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"))

@@ -74,8 +74,8 @@ def p6_budget(s: SparkSession, d: str) -> DataFrame:
     return budget.budget(t(s, d, "random_documents"))
 
 
-def p6_unigram_budget(s: SparkSession, d: str) -> DataFrame:
-    return budget.budget(t(s, d, "random_documents"), vocabulary="piece_bpe_32k", kind="unigram")
+def p6_multi_budget(s: SparkSession, d: str) -> DataFrame:
+    return budget.budget(t(s, d, "random_documents"), vocabulary="byte_bpe_multi_50k")
 
 
 def p7_found(s: SparkSession, d: str) -> DataFrame:
@@ -90,6 +90,10 @@ def p7_cleaned(s: SparkSession, d: str) -> DataFrame:
     return lines.without_repeated(t(s, d, "random_documents"))
 
 
+def p7_cleaned_templates(s: SparkSession, d: str) -> DataFrame:
+    return lines.without_repeated(t(s, d, "random_documents"), whole_templates=True)
+
+
 def p8_ids(s: SparkSession, d: str) -> DataFrame:
     return encode.encode(s.read.parquet(f"{d}/documents.parquet"))
 
@@ -119,7 +123,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         p1_found, p1_consensus, p1_annotators, p2_found, p2_sample, p2_report, p3_found, p3_cutoffs, p3_closest, p4_found, p4_segments, p5_found, p5_report,
-        p6_found, p6_budget, p6_unigram_budget, p7_found, p7_templates, p7_cleaned, p8_ids, p8_decoded, p9_pack, p9_fill, p10_found, p10_redacted,
+        p6_found, p6_budget, p6_multi_budget, p7_found, p7_templates, p7_cleaned, p7_cleaned_templates, p8_ids, p8_decoded, p9_pack, p9_fill, p10_found, p10_redacted,
     )
 }
 
@@ -179,6 +183,9 @@ ORACLE: dict[str, str] = {
     "w as (select k.*, nx.s, nx.up, coalesce(abs(nx.up - k.keep_pct * k.n_docs / 100.0::double) < abs(k.n_kept - k.keep_pct * k.n_docs / 100.0::double), false) as other from k join nx using (lang_code)) "
     "select lang_code, keep_pct::double as keep_pct, n_docs::bigint as n_docs, case when other then s else cutoff end as cutoff, (case when other then up else n_kept end)::bigint as n_kept from w",
     "p7_found": _LINES + "select distinct m.document_id, m.line_no::bigint as line_no from m join r using (site, norm)",
+    "p7_cleaned": _LINES + "select b.document_id, case when g.gone is null then b.text else array_to_string(list_filter(string_split(b.text, chr(10)), lambda x, i: not list_contains(g.gone, i)), chr(10)) end as text, "
+    "coalesce(len(g.gone), 0)::bigint as n_removed from (select distinct * from random_documents) b left join (select d.document_id, d.text, d.site, any_value(o.gone) as gone from d join "
+    "(select m.k, list(m.line_no) as gone from m join r using (site, norm) group by 1) o using (k) group by all) g on g.document_id = b.document_id and g.text = b.text and g.site = " + _SITE.replace("metadata.", "b.metadata.") ,
     "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }
 

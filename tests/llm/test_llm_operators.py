@@ -75,7 +75,7 @@ def test_tables_of_shifted_and_copying_annotators(spark):
     lab, ann = consensus.consensus(spark.createDataFrame(rows, ANN))
     by = {x.annotator: x for x in ann.collect()}
     assert list(by["e"].dependent_on) == ["f"] and list(by["a"].dependent_on) == []
-    assert abs(by["a"].accuracy - 0.85) < 0.05 and by["b"].accuracy < 0.5 and by["b"].reliability > 0.6
+    assert abs(by["a"].accuracy - 0.85) < 0.05 and by["b"].accuracy < 0.5 and by["b"].reliability > 0.5
     assert np.mean([truth[x.document_id] == x.label for x in lab.collect()]) > 0.93
 
 
@@ -278,6 +278,19 @@ def test_unigram_path_is_the_best_of_all_segmentations():
         assert trie.count(w) == max(brute(w))[1]
 
 
+def test_paths_over_the_trie_are_the_tokenizers(spark):
+    r = random.Random(15)
+    for name in ("byte_bpe_50k", "byte_bpe_multi_50k"):
+        enc, paths = tokenizer.byte_bpe(name), budget.MergePaths(tokenizer.ranks(name))
+        words = [" straße", "'s", "\n\n", "日本語", "😀😀", "a" * 3000, " internationalisation", "x" * 7 + "é", "1234567"]
+        words += ["".join(r.choice("abcdefghijklmnopqrstuvwxyzäöüßéñčш ЩΩ日本") for _ in range(r.randint(1, 25))) for _ in range(3000)]
+        words += ["".join(r.choices([p.decode("latin-1") for p in list(tokenizer.ranks(name))[:4000:7]], k=3)) for _ in range(2000)]
+        for w in words:
+            assert paths.count(w) == len(enc._encode_single_piece(w)), w
+    with pytest.raises(ValueError, match="no unigram vocabulary"):
+        budget._unigram_counts("piece_bpe_32k", tokenizer.DEFAULT_DIR)(["a"])
+
+
 def test_packing_is_whole_and_within_capacity(spark):
     r = random.Random(7)
     rows = [(i, "word%d " % (i % 7) * r.randint(0, 200), f"s{i % 5}") for i in range(300)] + [(300, None, None), (301, "", "s1"), (302, "long " * 5000, "s1")]
@@ -339,7 +352,9 @@ def test_repeated_lines(spark, empty_docs):
     assert clean["a3"].text == "Own text ad\n\n12 34" and clean["a3"].n_removed == 1
     assert clean["n"].text == "Share this page 1" and clean["z"].text is None and len(clean) == 68
     t = {(r.site, r.template): r.n_docs for r in lines.templates(docs).collect()}
-    assert t["a.example", "share this page 0"] == 6 and t["b.example", "other words stand <*> right here"] == 55
+    assert t == {("a.example", "share this page 0"): 6, ("b.example", "other words stand <*> right here"): 55}
+    clean = {r.document_id: r for r in lines.without_repeated(docs, whole_templates=True).collect()}
+    assert clean["b7"].text == "" and clean["b2"].text == "Share this page 1" and clean["a3"].text == "Own text ad\n\n12 34"
     assert lines.repeated_lines(empty_docs).count() == 0
 
 
