@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.bitmap import key_filter, passes
 from corpusmill.llm.wordtable import cut
 
 #: Segment length in words; texts of SHORTEST words or one more have shorter ones, still shorter texts only pair when they are equal.
@@ -32,9 +33,6 @@ SEGMENT, SHORT_SEGMENT, SHORTEST = 4, 3, 6
 MAX_EDITS, MAX_MOVED = 0.15, 0.25
 #: Up to LONG words, segments enough for a fifth of broken ones are matched: in short texts moved words, which break two each, weigh more.
 LONG, MOVED_SHORT = 64, 0.2
-#: Bound of the bitmap of wanted keys. More keys make it let through more, never less.
-MAX_FILTER_BITS = 1 << 28
-CHUNK = 4096
 #: Numbers that a batch of verified pairs holds in a row of the table.
 CELLS = 1 << 21
 
@@ -117,38 +115,6 @@ def _sequences(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(col.buffers()[2], np.uint8)[off[0] : off[-1]].view("<i4"), (off - off[0]) // 4
 
 
-def _bits(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    k = keys.view(np.uint64)
-    return (k & np.uint64(bits - 1)).astype(np.int64), ((k >> np.uint64(32)) & np.uint64(bits - 1)).astype(np.int64)
-
-
-def _passes(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    a, b = _bits(keys, len(filter_) * 8)
-    return ((filter_[a >> 3] >> (a & 7).astype(np.uint8)) & (filter_[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
-
-
-def key_filter(df: DataFrame, of_batch, n_keys: int) -> np.ndarray:
-    """Bitmap of the keys that ``of_batch`` (record batch to int64 array) finds in ``df``: every partition makes its own, the JVM joins them."""
-    bits = 1 << 20
-    while bits < min(16 * n_keys, MAX_FILTER_BITS):
-        bits *= 2
-
-    def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(bits // 8, np.uint8)
-        for rows in it:
-            for x in _bits(of_batch(rows), bits):
-                np.bitwise_or.at(own, x >> 3, np.uint8(1) << (x & 7).astype(np.uint8))
-        own = own.reshape(-1, CHUNK)
-        some = np.flatnonzero(own.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([own[i].tobytes() for i in some], pa.binary())], ["chunk", "bitmap"])
-
-    out = np.zeros((bits // 8 // CHUNK, CHUNK), np.uint8)
-    rows = df.mapInArrow(part, "chunk int, bitmap binary").groupBy("chunk").agg(F.expr("bitmap_or_agg(bitmap)").alias("bitmap")).collect()  # MAX_FILTER_BITS / 8 bytes at most
-    for r in rows:
-        out[r["chunk"]] = np.frombuffer(bytes(r["bitmap"]), np.uint8)
-    return out.ravel()
-
-
 def banded_distance(a: list[np.ndarray], b: list[np.ndarray], limit: np.ndarray, band: np.ndarray | None = None) -> np.ndarray:
     """Word edit distances of many pairs at once, exact up to each pair's limit, larger than it beyond.
 
@@ -270,14 +236,14 @@ def _parsed(rows: DataFrame) -> DataFrame:
 
 def _spread(classes: DataFrame, side: str, wanted: np.ndarray | None = None, only_keys: bool = False) -> DataFrame:
     """``c<side>, n<side>, key, p<side>`` of all segments or substrings (or their keys alone) that pass the bitmap."""
-    bc = classes.sparkSession.sparkContext.broadcast(wanted) if wanted is not None else None  # MAX_FILTER_BITS at most
+    bc = classes.sparkSession.sparkContext.broadcast(wanted) if wanted is not None else None  # of bounded size
 
     def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in it:
             flat, off = _sequences(rows.column("ids"))
             key, row, pos = _keys(flat, off, side)
             if bc is not None:
-                ok = _passes(bc.value, key)
+                ok = passes(bc.value, key)
                 key, row, pos = key[ok], row[ok], pos[ok]
             cols = {"key": pa.array(key)}
             if not only_keys:

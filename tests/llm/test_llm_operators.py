@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.llm import budget, consensus, cutoff, encode, langid, lines, overlap, pack, pii, quota, tokenizer
+from corpusmill.llm import bitmap, budget, consensus, cutoff, encode, langid, lines, overlap, pack, pii, quota, tokenizer
 
 DOC = "document_id string, text string, metadata struct<url:string,language:string,dump:string,token_count:int>, scores struct<score:double>, lang string, site string, label bigint, k string"
 
@@ -232,8 +232,8 @@ def test_edits_within_the_bound_are_always_found_and_agree_with_all_pairs(spark)
 
 def test_bitmap_lets_through_all_wanted_keys_and_little_else(spark):
     keys = np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 20_000)
-    f = overlap.key_filter(spark.createDataFrame([(int(k),) for k in keys[:5000]], "key bigint").repartition(3), lambda b: b.column("key").to_numpy(), 5000)
-    assert overlap._passes(f, keys[:5000]).all() and overlap._passes(f, keys[5000:]).mean() < 0.05
+    f = bitmap.key_filter(spark.createDataFrame([(int(k),) for k in keys[:5000]], "key bigint").repartition(3), bitmap.of_column("key"), 5000)
+    assert bitmap.passes(f, keys[:5000]).all() and bitmap.passes(f, keys[5000:]).mean() < 0.05
 
 
 # ------------------------------------------------------------------------------------------------- tokens, encode, pack
