@@ -102,6 +102,12 @@ def krippendorff(values: DataFrame, keys: Sequence[str] = (), item: Sequence[str
     o = per.select(*k, "m", F.explode("v").alias("a"), "v").select(*k, "m", "a", F.explode("v").alias("b"))
     n_pairs = F.when(F.col("a.score") == F.col("b.score"), F.col("a.c") * (F.col("a.c") - 1)).otherwise(F.col("a.c") * F.col("b.c"))
     co = o.groupBy(*k, F.col("a.score").alias("x"), F.col("b.score").alias("y")).agg(F.sum(n_pairs / (F.col("m") - 1)).alias("o"))
+    return alpha(co, k)
+
+
+def alpha(co: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Ordinal alpha from coincidences ``<keys>, x, y, o``."""
+    k = list(keys)
     w = Window.partitionBy(*k) if k else Window.partitionBy(F.lit(1))
     nx = co.groupBy(*k, "x").agg(F.sum("o").alias("nx")).withColumn("cum", F.sum("nx").over(w.orderBy("x"))).withColumn("n", F.sum("nx").over(w))
     a = nx.select(*k, "x", F.col("nx").alias("na"), F.col("cum").alias("ca"), "n")
@@ -187,10 +193,10 @@ def normalised(cm: DataFrame, keys: Sequence[str] = ("annotator",)) -> DataFrame
     return cm.select(*keys, "label", "prediction", F.coalesce(safe_ratio(F.col("n"), tot), F.lit(0.0)).alias("share"))
 
 
-def histogram(df: DataFrame, value: str, keys: Sequence[str], bins: int = 30) -> DataFrame:
-    """Equal-width bins between each group's minimum and maximum, the maximum in the last bin; a single value lies in bin 1."""
+def histogram(df: DataFrame, value: str, keys: Sequence[str], bins: int = 30, weight: str | None = None) -> DataFrame:
+    """Equal-width bins between each group's minimum and maximum, the maximum in the last bin; a single value lies in bin 1. Rows count ``weight`` times."""
     k = list(keys)
-    v = df.filter(F.col(value).isNotNull()).groupBy(*k, F.col(value).alias("x")).agg(F.count("*").alias("n"))
+    v = df.filter(F.col(value).isNotNull()).groupBy(*k, F.col(value).alias("x")).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
     w = Window.partitionBy(*k)
     v = v.withColumn("lo", F.min("x").over(w)).withColumn("hi", F.max("x").over(w))
     b = F.when(F.col("hi") == F.col("lo"), 1).otherwise(F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins) + 1, F.lit(bins)))
@@ -206,6 +212,20 @@ def difference_quartiles(pair_rows: DataFrame, keys: Sequence[str] = PAIR) -> Da
     return g.select(*keys, "n", "mean", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
 
 
+def difference_histogram(pair_rows: DataFrame, keys: Sequence[str] = PAIR, bins: int = 30) -> DataFrame:
+    """``histogram`` of ``score_1 - score_0`` of the valid pairs."""
+    d = contingency(pair_rows, keys).select(*keys, (F.col("score_1") - F.col("score_0")).alias("difference"), "n")
+    return histogram(d, "difference", keys, bins, "n")
+
+
+def truth_metrics(gt: DataFrame, keys: Sequence[str] = ("annotator",)) -> DataFrame:
+    """``n, acc, mae, mse`` of valid predictions against the truth: accuracy on rounded scores, errors on the scores as they are."""
+    g = gt.filter("truth is not null and pred is not null")
+    diff = F.col("truth") - F.col("pred")
+    same = (round_half_up(F.col("truth")) == round_half_up(F.col("pred"))).cast("double")
+    return g.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(same).alias("acc"), F.avg(F.abs(diff)).alias("mae"), F.avg(diff * diff).alias("mse"))
+
+
 def invalid_truth_histogram(gt: DataFrame, keys: Sequence[str] = ("annotator",)) -> DataFrame:
     """Truth of the documents without a valid prediction, edges 0, 0.5, 1.5, ..., 5.5."""
     x = F.col("truth")
@@ -232,3 +252,32 @@ def metrics(pair_rows: DataFrame, thresholds: Sequence[float] = (3.0,), keys: Se
     ct = table.filter("score_0 is not null and score_1 is not null")
     out = summary(table, thresholds, k).join(spearman(ct, k), k, "left").join(kendall(ct, k), k, "left")
     return out.join(cohen(rounded(ct, k), k), k, "left")
+
+
+def pair_fleiss(ct: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
+    """Fleiss' kappa of two raters from their (rounded) table: every pair of scores is an item."""
+    k = list(keys)
+    g = ct.groupBy(*k).agg((F.sum(F.when(F.col("score_0") == F.col("score_1"), F.col("n")).otherwise(0)) / F.sum("n")).alias("p"), F.sum("n").alias("t"))
+    both = ct.select(*k, "score_0", "score_1", "n")
+    m = both.select(*k, F.explode(F.array("score_0", "score_1")).alias("s"), "n").groupBy(*k, "s").agg(F.sum("n").alias("m")).join(g, k)
+    e = m.groupBy(*k, "p").agg(F.sum((F.col("m") / (2 * F.col("t"))) ** 2).alias("e"))
+    return e.select(*k, F.try_divide(F.col("p") - F.col("e"), 1 - F.col("e")).alias("fleiss"))
+
+
+def pair_krippendorff(ct: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
+    """Ordinal alpha of two raters from their table: a cell adds its count to both orders of its scores."""
+    k = list(keys)
+    o = ct.select(*k, F.explode(F.array(F.struct(F.col("score_0").alias("x"), F.col("score_1").alias("y")), F.struct(F.col("score_1").alias("x"), F.col("score_0").alias("y")))).alias("z"), "n")
+    return alpha(o.groupBy(*k, F.col("z.x").alias("x"), F.col("z.y").alias("y")).agg(F.sum("n").cast("double").alias("o")), k)
+
+
+def full_report(pair_rows: DataFrame, truth: str, thresholds: Sequence[float] = (3.0,), labels: Sequence[int] = range(6)) -> tuple[DataFrame, DataFrame]:
+    """(pair metrics with Fleiss and Krippendorff; per annotator against the truth ``CA-l``, ``F1-l``, macro and micro F1 as a map)."""
+    ct = contingency(pair_rows)
+    m = metrics(pair_rows, thresholds).join(pair_fleiss(rounded(ct)), PAIR, "left").join(pair_krippendorff(ct), PAIR, "left")
+    c = class_counts(against(pair_rows, truth), labels=labels)
+    f = f1_scores(c).join(class_accuracy(c), ["annotator", "label"])
+    per = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("CA-"), F.col("label").cast("string")), F.col("class_accuracy")))))  # a row a label
+    f1 = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("F1-"), F.col("label").cast("string")), F.col("f1")))))
+    g = f.groupBy("annotator").agg(F.map_concat(per, f1).alias("classes"), F.max("macro_f1").alias("macro_f1"), F.max("micro_f1").alias("micro_f1"))
+    return m, g

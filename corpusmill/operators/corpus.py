@@ -45,6 +45,15 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "line") -> Dat
     return srt.join(F.broadcast(start), "_p").select(*df.columns, (F.col("before") + F.col("_i") - F.col("lo")).cast("bigint").alias(name))
 
 
+def numbered(df: DataFrame, by: str, line: str, name: str, block: int = 65_536) -> DataFrame:
+    """Rows of every group numbered from 0 without gaps, in the order of an integer column; blocks of it are counted first, so no group is sorted in one task."""
+    d = df.withColumn("_b", F.floor(F.col(line) / block))
+    n = d.groupBy(by, "_b").agg(F.count("*").alias("_n"))
+    before = n.select(by, "_b", (F.sum("_n").over(Window.partitionBy(by).orderBy("_b")) - F.col("_n")).alias("_before"))
+    r = F.row_number().over(Window.partitionBy(by, "_b").orderBy(line)) - 1
+    return d.join(before, [by, "_b"]).withColumn(name, (F.col("_before") + r).cast("bigint")).drop("_b", "_before")
+
+
 def chunked(df: DataFrame, order: Sequence[str], lines: int) -> DataFrame:
     """``chunk`` and ``line``: chunks of exactly ``lines`` rows (the last may be shorter), numbered from 0."""
     return global_index(df, order).withColumn("chunk", F.floor(F.col("line") / lines))
@@ -60,11 +69,16 @@ def seeded_order(seed: int, id: str) -> Column:
 
 
 def stratified_sample(df: DataFrame, column: str, sizes: dict[str, int], id: str, seed: int = 42) -> DataFrame:
-    """``min(group, n)`` rows of every listed value (compared as strings), chosen by a seeded hash order."""
-    part = df.filter(F.col(column).cast("string").isin(*sizes)).withColumn("_h", seeded_order(seed, id))
+    """``min(group, n)`` rows of every listed value (compared as strings), chosen by a seeded hash order.
+
+    Groups are counted in 4096 hash ranges first; only ranges that hold wanted ranks are sorted, each on its own.
+    """
     n = F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv])
-    r = F.row_number().over(Window.partitionBy(column).orderBy("_h", id))
-    return part.withColumn("_r", r).filter(F.col("_r") <= n[F.col(column).cast("string")]).drop("_r", "_h")
+    part = df.filter(F.col(column).cast("string").isin(*sizes)).withColumn("_h", seeded_order(seed, id)).withColumn("_r", F.substring("_h", 1, 3)).withColumn("_v", F.col(column).cast("string"))
+    count = part.groupBy("_v", "_r").agg(F.count("*").alias("_n"))
+    start = count.select("_v", "_r", (F.sum("_n").over(Window.partitionBy("_v").orderBy("_r")) - F.col("_n")).alias("_before")).filter(F.col("_before") < n[F.col("_v")])
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy("_v", "_r").orderBy("_h", id))
+    return part.join(start, ["_v", "_r"]).withColumn("_k", rank).filter(F.col("_k") <= n[F.col("_v")]).select(*df.columns)
 
 
 def exact_split(df: DataFrame, id: str, ratios: Sequence[float] = (0.8, 0.1, 0.1), seed: int = 42) -> DataFrame:

@@ -24,10 +24,10 @@ class Head:
 
     @staticmethod
     def fresh(dim: int, hidden: int, tasks: int, seed: int = 42, scale: float = 10.0, bias: float = 2.5) -> Head:
-        """Random weights; the last layer's are scaled up and its bias set to the middle of the label range."""
+        """Random weights; the last layer's are multiplied by ``scale`` and its bias set to the middle of the label range."""
         r = np.random.default_rng(seed)
         a, b = 1 / np.sqrt(dim), 1 / np.sqrt(hidden)
-        return Head(r.uniform(-a, a, (dim, hidden)), np.zeros(hidden), r.uniform(-b, b, (hidden, tasks)) * scale / 10, np.full(tasks, bias))
+        return Head(r.uniform(-a, a, (dim, hidden)), np.zeros(hidden), r.uniform(-b, b, (hidden, tasks)) * scale, np.full(tasks, bias))
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         return np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
@@ -65,40 +65,79 @@ def check_metric(metric: str, splits: list[str]) -> None:
         raise ValueError(f"{metric} names none of the splits {splits}")
 
 
-def train(df: DataFrame, x: str, y: str, head: Head, epochs: int = 20, rate: float = 0.01, stop: EarlyStop | None = None) -> tuple[Head, list[float]]:
-    """Full-batch Adam with a cosine schedule; one distributed gradient pass an epoch. Returns the head and its losses."""
-    d = df.select(F.col(x).alias("x"), F.col(y).alias("y")).persist()
+def train(
+    df: DataFrame, x: str, y: str, head: Head, epochs: int = 20, rate: float = 0.01, stop: EarlyStop | None = None, steps: int = 1,
+    evaluation: dict[str, DataFrame] | None = None, metric: str = "eval_val_loss",
+) -> tuple[Head, list[float]]:
+    """Adam with a cosine schedule. An epoch has ``steps`` mini-batches, drawn by a hash of the row and the epoch; each is one distributed
+    gradient pass, of which one row a partition comes back. Returns the head and its training losses.
+
+    With ``evaluation`` sets, ``metric`` (``eval_<set>_loss`` or ``eval_<set>_mae``) is measured after every epoch; the head of the best epoch is
+    returned, and ``stop`` watches that metric (as a value of which more is better: its negative).
+    """
+    d = df.select(F.col(x).alias("x"), F.col(y).alias("y"), F.xxhash64(F.col(x), F.col(y)).alias("h")).filter("x is not null and y is not null").persist()
+    if evaluation is not None:
+        check_metric(metric, list(evaluation))
     m = [np.zeros_like(p) for p in head.parts()]
     v = [np.zeros_like(p) for p in head.parts()]
     losses: list[float] = []
+    best, top, turn = head, np.inf, 0
     for ep in range(epochs):
-        bc = d.sparkSession.sparkContext.broadcast(head)
-
-        def grad(it: Iterator[pd.DataFrame], bc=bc) -> Iterator[pd.DataFrame]:
-            acc, loss, n = None, 0.0, 0.0
-            for p in it:
-                if len(p):
-                    g, ls, c = bc.value.gradients(np.stack(p["x"]).astype(float), np.stack([np.atleast_1d(t) for t in p["y"]]).astype(float))
-                    acc = g if acc is None else [a + b for a, b in zip(acc, g)]
-                    loss, n = loss + ls, n + c
-            if acc is not None:
-                yield pd.DataFrame({"g": [np.concatenate([a.ravel() for a in acc])], "loss": [loss], "n": [n]})
-
-        rows = d.mapInPandas(grad, "g array<double>, loss double, n double").collect()  # one row a partition, as long as the weights
-        n = sum(r["n"] for r in rows) or 1.0
-        losses.append(sum(r["loss"] for r in rows) / n)
-        flat = np.sum([np.asarray(r["g"]) for r in rows], axis=0) / n
-        lr, at, new = rate * 0.5 * (1 + np.cos(np.pi * ep / epochs)), 0, []
-        for i, p in enumerate(head.parts()):
-            g = flat[at : at + p.size].reshape(p.shape)
-            at += p.size
-            m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.999 * v[i] + 0.001 * g * g
-            new.append(p - lr * (m[i] / (1 - 0.9 ** (ep + 1))) / (np.sqrt(v[i] / (1 - 0.999 ** (ep + 1))) + 1e-8))
-        head = Head(*new)
-        if stop is not None and stop(-losses[-1]):
+        total = rows_seen = 0.0
+        for k in range(steps):
+            part = d.filter(F.pmod(F.xxhash64("h", F.lit(ep)), F.lit(steps)) == k) if steps > 1 else d
+            flat, loss, n = _gradient(part, head)
+            if flat is None:
+                continue
+            total, rows_seen, turn = total + loss, rows_seen + n, turn + 1
+            lr, at, new = rate * 0.5 * (1 + np.cos(np.pi * (ep + k / steps) / epochs)), 0, []
+            for i, p in enumerate(head.parts()):
+                g = flat[at : at + p.size].reshape(p.shape)
+                at += p.size
+                m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.999 * v[i] + 0.001 * g * g
+                new.append(p - lr * (m[i] / (1 - 0.9**turn)) / (np.sqrt(v[i] / (1 - 0.999**turn)) + 1e-8))
+            head = Head(*new)
+        losses.append(total / (rows_seen or 1.0))
+        value = losses[-1]
+        if evaluation is not None:
+            name = next(s for s in sorted(evaluation, key=len, reverse=True) if metric.startswith(f"eval_{s}_"))
+            value = error(evaluation[name], x, y, head, metric.removeprefix(f"eval_{name}_"))
+            if value < top:
+                best, top = head, value
+        if stop is not None and stop(-value):
             break
     d.unpersist()
-    return head, losses
+    return (best if evaluation is not None else head), losses
+
+
+def _gradient(d: DataFrame, head: Head) -> tuple[np.ndarray | None, float, float]:
+    bc = d.sparkSession.sparkContext.broadcast(head)
+
+    def grad(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc, loss, n = None, 0.0, 0.0
+        for p in it:
+            if len(p):
+                g, ls, c = bc.value.gradients(np.stack(p["x"]).astype(float), np.stack([np.atleast_1d(t) for t in p["y"]]).astype(float))
+                acc = g if acc is None else [a + b for a, b in zip(acc, g)]
+                loss, n = loss + ls, n + c
+        if acc is not None:
+            yield pd.DataFrame({"g": [np.concatenate([a.ravel() for a in acc])], "loss": [loss], "n": [n]})
+
+    rows = d.select("x", "y").mapInPandas(grad, "g array<double>, loss double, n double").collect()  # one row a partition, as long as the weights
+    n = sum(r["n"] for r in rows)
+    if not n:
+        return None, 0.0, 0.0
+    return np.sum([np.asarray(r["g"]) for r in rows], axis=0) / n, sum(r["loss"] for r in rows), n
+
+
+def error(df: DataFrame, x: str, y: str, head: Head, which: str = "loss") -> float:
+    """Mean squared (``loss``) or absolute (``mae``) error over all labels that are not masked."""
+    if which not in ("loss", "mae"):
+        raise ValueError(f"unknown metric {which!r}")
+    d = predict(df.withColumn("_id", F.col(y).cast("array<double>")), "_id", x, head).filter("_id is not null and prediction is not null")
+    e = d.select(F.explode(F.arrays_zip(F.col("_id").alias("t"), F.col("prediction").alias("p"))).alias("z")).filter("z.t != -100")
+    diff = F.col("z.t") - F.col("z.p")
+    return float(e.agg(F.avg(diff * diff if which == "loss" else F.abs(diff))).first()[0] or 0.0)
 
 
 def predict(df: DataFrame, id: str, x: str, head: Head) -> DataFrame:

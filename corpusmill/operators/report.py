@@ -16,6 +16,13 @@ def cross_language(frame: DataFrame, metrics: Sequence[str], summed: Sequence[st
     return frame.groupBy(by).agg(*[F.sum(m).cast("bigint").alias(m) if m in summed else mean(m) for m in metrics])
 
 
+def one_confusion(cm: DataFrame, keys: Sequence[str] = ("annotator", "lang"), source: str = "file") -> DataFrame:
+    """Confusion counts as they are; raises unless every annotator and language has them from exactly one source."""
+    n = cm.groupBy(*keys).agg(F.count_distinct(source).alias("_n"))
+    bad = F.when(F.col("_n") > 1, F.raise_error(F.concat_ws(" ", F.lit("several confusion matrices of"), *keys)).cast("boolean")).otherwise(True)
+    return cm.join(n.filter(bad).drop("_n"), list(keys))
+
+
 def cross_language_confusion(cm: DataFrame, by: str = "annotator") -> DataFrame:
     return cm.groupBy(by, "label", "prediction").agg(F.sum("n").alias("n"))
 
@@ -72,7 +79,9 @@ def longest_prefix(names: DataFrame, name: str, table: DataFrame, key: str, max_
 
     Distinct names are matched by their prefixes: an equi-join on every prefix length that occurs in the table, no cross join.
     """
-    lengths = [r[0] for r in table.select(F.length(key).alias("n")).filter("n > 0").distinct().limit(max_rows).collect()]
+    lengths = [r[0] for r in table.select(F.length(key).alias("n")).filter("n > 0").distinct().limit(max_rows + 1).collect()]
+    if len(lengths) > max_rows:
+        raise ValueError(f"keys of more than {max_rows} lengths")
     distinct = names.select(name).filter(F.col(name).isNotNull()).distinct()
     arr = F.array(*[F.when(F.length(name) >= n, F.substring(name, 1, int(n))) for n in sorted(lengths)]) if lengths else F.array(F.lit(None).cast("string"))
     hit = distinct.select(name, F.explode(F.array_compact(arr)).alias(key)).join(table.select(key), key).groupBy(name).agg(F.max_by(key, F.length(key)).alias(key))

@@ -51,10 +51,25 @@ def json_lines(spark: SparkSession, paths: str | Sequence[str], schema: str, sta
     return out if keep_bad else out.filter("_corrupt_record is null").drop("_corrupt_record")
 
 
-def documents(spark: SparkSession, paths, schema: str = schemas.RAW_DOCUMENT, language: str = "metadata.language", **how) -> DataFrame:
-    """Raw documents with ``language`` from a dotted path and ``raw_data_file_path``."""
+def documents(spark: SparkSession, paths, schema: str = schemas.RAW_DOCUMENT, language: str = "metadata.language", strict: bool = False, **how) -> DataFrame:
+    """Raw documents with ``language`` from a dotted path and ``raw_data_file_path``; with ``strict`` a document without language raises."""
     d = json_lines(spark, paths, schema, **how)
-    return d.withColumn("language", F.col(language)).withColumn("raw_data_file_path", F.regexp_replace("file", "^file:(//)?", ""))
+    d = d.withColumn("language", F.col(language)).withColumn("raw_data_file_path", F.regexp_replace("file", "^file:(//)?", ""))
+    if strict:
+        none = F.coalesce(F.length("language"), F.lit(0)) == 0
+        d = d.filter(F.when(none, F.raise_error(F.concat(F.lit(f"no {language} in "), "file", F.lit(" line "), F.col("line_no").cast("string"))).cast("boolean")).otherwise(True))
+    return d
+
+
+def labelled_texts(spark: SparkSession, path: str, text: str = "text", score: str = "scores struct<score:double>") -> DataFrame:
+    """``file, line_no, text, <scores>`` of a JSON-line file or of all such files below a folder; FileNotFoundError where nothing is, ValueError for anything else."""
+    p = Path(path)
+    if not p.exists():
+        raise FileNotFoundError(path)
+    found = [path] if p.is_file() and p.suffix == ".jsonl" else find(path) if p.is_dir() else []
+    if not found:
+        raise ValueError(f"{path} is no JSON-line file and no folder that holds some")
+    return json_lines(spark, found, f"`{text}` string, {score}")
 
 
 def annotations(spark: SparkSession, paths, first_line_meta: bool = False, **how) -> DataFrame:
@@ -73,25 +88,43 @@ def human_annotations(spark: SparkSession, paths, **how) -> DataFrame:
 
 
 def metric_results(spark: SparkSession, folder: str) -> DataFrame:
-    """``lang, annotator, metrics, CM`` of ``ir_*.json`` files; language is the parent folder, one of the last two parts of the name has to be ``gt``."""
+    """``lang, annotator, metrics, CM`` of ``ir_<annotator>_gt.json`` and ``ir_gt_<annotator>.json`` files; language is the parent folder.
+
+    Annotators may hold any character. A file without ``gt`` in first or last place raises; broken files are left out.
+    """
     d = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "ir_*.json").option("mode", "DROPMALFORMED").schema(schemas.IR_RESULT).json(folder)
-    d = d.withColumn("file", F.col("_metadata.file_path")) if "_metadata" not in d.columns else d
-    stem = F.regexp_extract("file", r"([^/]+)\.json$", 1)
-    a, b = F.element_at(F.split(stem, "_"), -2), F.element_at(F.split(stem, "_"), -1)
-    who = F.when(a == "gt", b).when(b == "gt", a)
-    return d.select(F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("lang"), who.alias("annotator"), "metrics", "CM", "file").filter("annotator is not null")
+    d = d.withColumn("file", F.col("_metadata.file_path"))
+    stem = F.url_decode(F.replace(F.regexp_extract("file", r"([^/]+)\.json$", 1), F.lit("+"), F.lit("%2B")))
+    first, last = F.regexp_extract(stem, "^ir_gt_(.+)$", 1), F.regexp_extract(stem, "^ir_(.+)_gt$", 1)
+    who = F.when(first != "", first).when(last != "", last).otherwise(F.raise_error(F.concat(F.lit("no ground truth in "), "file")))
+    return d.select(F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("lang"), who.alias("annotator"), "metrics", "CM", "file")
+
+
+def batch_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``file, line_no, response, _corrupt_record`` of all ``batch_results.jsonl`` below a folder, malformed lines with their text."""
+    paths = find(folder, "batch_results.jsonl")
+    if not paths:
+        return spark.createDataFrame([], f"file string, line_no bigint, {schemas.BATCH_RESULT}, _corrupt_record string")
+    return json_lines(spark, paths, schemas.BATCH_RESULT, keep_bad=True)
 
 
 def batch_results(spark: SparkSession, folder: str) -> DataFrame:
-    """``folder, model, prompt_tokens, cached_tokens, completion_tokens, total_tokens``; results without body, usage or model are dropped."""
-    d = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "batch_results.jsonl").option("mode", "DROPMALFORMED").schema(schemas.BATCH_RESULT).json(folder)
+    """``folder, model, prompt_tokens, cached_tokens, completion_tokens, total_tokens``; results without body, usage or model are dropped, as are malformed lines."""
     b = F.col("response.body")
-    return d.select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("folder"), b["model"].alias("model"), b["usage"]["prompt_tokens"].alias("prompt_tokens"),
+    return batch_lines(spark, folder).select(
+        F.regexp_extract(F.col("file"), r"([^/]+)/[^/]+$", 1).alias("folder"), b["model"].alias("model"), b["usage"]["prompt_tokens"].alias("prompt_tokens"),
         F.coalesce(b["usage"]["prompt_tokens_details"]["cached_tokens"], F.lit(0)).alias("cached_tokens"), b["usage"]["completion_tokens"].alias("completion_tokens"), b["usage"]["total_tokens"].alias("total_tokens"),
     ).filter("model is not null and prompt_tokens is not null")
 
 
+def batch_losses(spark: SparkSession, folder: str) -> DataFrame:
+    """``folder, malformed, incomplete``: lines of each folder that ``batch_results`` leaves out."""
+    b = F.col("response.body")
+    bad = F.col("_corrupt_record").isNotNull()
+    less = ~bad & (b["model"].isNull() | b["usage"]["prompt_tokens"].isNull())
+    return batch_lines(spark, folder).groupBy(F.regexp_extract(F.col("file"), r"([^/]+)/[^/]+$", 1).alias("folder")).agg(F.count_if(bad).alias("malformed"), F.count_if(F.coalesce(less, F.lit(True)) & ~bad).alias("incomplete"))
+
+
 def hash_list(spark: SparkSession, path: str) -> DataFrame:
     schema = "file_path string, md5 string"
     if not os.path.exists(path):
@@ -120,18 +153,18 @@ def file_digests(spark: SparkSession, paths: Sequence[str], chunk: int = 1 << 20
     return d.mapInPandas(run, "file_path string, md5 string")
 
 
-def embeddings(spark: SparkSession, path: str, x: str = "embedding", y: str = "label") -> DataFrame:
-    """Embedding sets are Parquet here; HDF5 shards are read when h5py can be imported."""
+def embeddings(spark: SparkSession, path: str, x: str = "embedding", y: str = "label", training: bool = True) -> DataFrame:
+    """Embedding sets are Parquet here; HDF5 shards are read when h5py can be imported. A broken or empty shard raises in training and is left out elsewhere."""
     if path.endswith((".h5", ".hdf5")) or find(path, "*.h5") or find(path, "*.hdf5"):
         try:
             import h5py  # noqa: F401
         except ImportError as e:
             raise RuntimeError("HDF5 shards need h5py; convert them to Parquet") from e
-        return _hdf5(spark, [path] if path.endswith((".h5", ".hdf5")) else [*find(path, "*.h5"), *find(path, "*.hdf5")])
+        return _hdf5(spark, [path] if path.endswith((".h5", ".hdf5")) else [*find(path, "*.h5"), *find(path, "*.hdf5")], training)
     return spark.read.parquet(path).select(F.col(x).cast("array<float>").alias("embedding"), F.col(y).alias("label"))
 
 
-def _hdf5(spark: SparkSession, paths: list[str], group: str | None = None) -> DataFrame:
+def _hdf5(spark: SparkSession, paths: list[str], training: bool, group: str | None = None) -> DataFrame:
     import pandas as pd
 
     def run(it):
@@ -139,10 +172,16 @@ def _hdf5(spark: SparkSession, paths: list[str], group: str | None = None) -> Da
 
         for p in it:
             for f in p["path"]:
-                with h5py.File(f) as h:
-                    g = h[group] if group in h else h[next(iter(h))]
-                    for lo in range(0, len(g["embeddings"]), 4096):
-                        yield pd.DataFrame({"embedding": list(g["embeddings"][lo : lo + 4096]), "label": list(g["labels"][lo : lo + 4096])})
+                try:
+                    with h5py.File(f) as h:
+                        g = h[group] if group in h else h[next(iter(h))]
+                        if not len(g["embeddings"]):
+                            raise ValueError(f"{f} is empty")
+                        for lo in range(0, len(g["embeddings"]), 4096):
+                            yield pd.DataFrame({"embedding": list(g["embeddings"][lo : lo + 4096]), "label": list(g["labels"][lo : lo + 4096])})
+                except (OSError, KeyError, StopIteration, ValueError) as e:
+                    if training:
+                        raise RuntimeError(f"broken shard {f}") from e
 
     return spark.createDataFrame([(p,) for p in paths], "path string").repartition(len(paths)).mapInPandas(run, "embedding array<float>, label array<float>")
 

@@ -2,17 +2,21 @@
 
 import json
 import random
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from corpusmill import schemas
 from corpusmill.functions import text as tx
 from corpusmill.functions import votes as vt
-from corpusmill.operators import agreement, annotate, classifier, corpus, head, report, votes
+from corpusmill.operators import agreement, annotate, classifier, corpus, head, project, report, tokens, votes
 from corpusmill.sources import files, sinks
 from corpusmill.streaming import incremental
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import this module
+
 
 def one(spark, expr_df):
     return expr_df.first()[0]
@@ -161,8 +165,8 @@ def test_aggregated_scores_only_for_complete_files(spark, tmp_path):
     raw = spark.createDataFrame([("f", "1", 1), ("f", "2", 0), ("g", "1", 0), ("g", "9", 1)], "file_path string, doc_id string, line_no int")
     sc = spark.createDataFrame([("f", "1", None, 0), ("f", "2", 4.0, 0), ("f", "2", 2.0, 1), ("g", "1", 3.0, 0)], "raw_data_file_path string, doc_id string, score double, o int")
     assert sinks.aggregated_scores(raw, votes.last_scores(sc, "o"), str(tmp_path / "o"), "mean") == ["g"]
-    rows = [json.loads(x) for p in (tmp_path / "o").rglob("*.json") for x in p.read_text().splitlines()]
-    assert [(r["id"], r["score"]) for r in rows] == [("2", "2.0"), ("1", "invalid")]
+    rows = [json.loads(x) for p in (tmp_path / "o").rglob("*.jsonl") for x in p.read_text().splitlines()]
+    assert [(r["id"], r["score"]) for r in rows] == [("2", 2.0), ("1", "invalid")] and [p.name for p in (tmp_path / "o").iterdir()] == ["f_aggregated_scores_mean.jsonl"]
 
 
 def test_annotation_statuses(spark):
@@ -181,7 +185,7 @@ def test_annotation_statuses(spark):
     assert isinstance(annotate.with_retries(down, 2, 0.4, waits.append)(["p"])[0], ConnectionError) and waits == [0.4, 0.8]
     with pytest.raises(Exception, match="500"):
         annotate.annotate(p, lambda ps: [annotate.ServerError("500")] * len(ps), "id", "educational_score", "n", "en", "m").count()
-    assert annotate.differing_characters("abc", "abd") == 2
+    assert tokens.differing_characters("abc", "abd") == 2
     with pytest.raises(ValueError):
         annotate.translate(docs, "text", "en", ["qq"], None, ["en"])
     assert len(schemas.LANGUAGES) == 37 == len(annotate.prompts_by_language("in {##TARGET_LANGUAGE##}", schemas.LANGUAGES))
@@ -274,3 +278,190 @@ def test_reports_hold_all_rows_or_fail(spark, tmp_path):
     for fn in (sinks.markdown, lambda d: sinks.latex(d, {"id": "max"}), lambda d: sinks.experiment_report(d, "c", str(tmp_path)), lambda d: sinks.aggregated_scores(raw, scores, str(tmp_path / "a"), "mean")):
         with pytest.raises(ValueError, match="more than 10000 rows"):
             fn(more)
+
+
+def lines_of(path):
+    return [json.loads(x) for x in path.read_text(encoding="utf-8").splitlines()]
+
+
+def answers(prompts):
+    return [[f"Educational score: {len(p) % 6}", "none"] for p in prompts]
+
+
+def refusing(prompts):
+    return [annotate.ServerError("500") for _ in prompts]
+
+
+def test_documents_are_scored_file_by_file_in_order(spark, tmp_path):
+    from corpusmill import cli
+
+    for lang, name, n in (("de", "a", 30), ("en", "b", 5)):
+        (tmp_path / "raw" / lang).mkdir(parents=True)
+        rows = [{"id": str(i), "text": "t" * i, "metadata": {"language": lang}} for i in range(n)]
+        (tmp_path / "raw" / lang / f"{name}.jsonl").write_text("\n".join(map(json.dumps, rows)) + "\nbroken\n")
+    (tmp_path / "p.yaml").write_text("prompt: 'Rate {placeholder}'\nprompt_name: edu\n")
+    run = lambda out, client, *more: cli.main(["score_documents", "--input", str(tmp_path / "raw"), "--output", str(tmp_path / out), "--prompt", str(tmp_path / "p.yaml"), "--client", f"{__name__}:{client}", "--model", "velm/x-1", *more])
+    run("o", "answers")
+    got = {p.relative_to(tmp_path / "o").as_posix(): [r["document_id"] for r in lines_of(p)] for p in (tmp_path / "o").rglob("*annotations*.jsonl")}
+    assert got == {"generated_annotations/de/a__annotations_velm--x-1_edu_en.jsonl": [str(i) for i in range(1, 30)], "generated_annotations/en/b__annotations_velm--x-1_edu_en.jsonl": [str(i) for i in range(1, 5)]}
+    row = lines_of(tmp_path / "o" / "generated_annotations/en/b__annotations_velm--x-1_edu_en.jsonl")[0]
+    assert row["scores"] == [0.0, None] and row["meta_information"]["model"] == "velm/x-1" and row["meta_information"]["raw_data_file_path"].endswith("raw/en/b.jsonl")
+    assert json.loads((tmp_path / "o" / "throughput.json").read_text())["num_documents_written"] == 33
+    assert len(lines_of(tmp_path / "o" / "rejected.jsonl")) == 2  # empty texts
+    run("s", "answers", "--start", "3")
+    assert [r["document_id"] for r in lines_of(next((tmp_path / "s").rglob("b__*.jsonl")))] == ["3", "4"]
+    with pytest.raises(Exception, match="500"):
+        run("x", "refusing")
+    assert not (tmp_path / "x" / "throughput.json").exists()
+
+
+def annotation(doc, model, scores, file):
+    meta = {"prompt_name": "edu", "prompt_lang": "en", "model": model, "raw_data_file_path": file, "out_tokens_per_second": 1.0}
+    n = len(scores)
+    return {"document_id": doc, "scores": scores, "explanations": [""] * n, "errors": [[]] * n, "time_stamps": [1] * n, "document_processing_status": ["success"] * n, "meta_information": meta}
+
+
+def test_evaluation_and_collection_keep_models_with_slashes(spark, tmp_path):
+    from corpusmill import cli
+
+    truth = {str(i): i % 6 for i in range(40)}
+    for lang, off in (("de", 7), ("en", 9)):
+        (tmp_path / "ann" / lang).mkdir(parents=True)
+        for model in ("velmora/velm_32b", "plain"):
+            (tmp_path / "ann" / lang / f"annotations_{model.replace('/', '--')}.jsonl").write_text("".join(json.dumps(annotation(d, model, [float(s if int(d) % off else 5 - s)], "r.jsonl")) + "\n" for d, s in truth.items()))
+    (tmp_path / "ann" / "annotations_gt.jsonl").write_text("".join(json.dumps(annotation(d, "gt", [float(s)], "r.jsonl")) + "\n" for d, s in truth.items()))
+    assert cli.main(["evaluate_predicted_annotations", "--input", str(tmp_path / "ann"), "--output", str(tmp_path / "ir")]) == 0
+    one = json.loads((tmp_path / "ir" / "de" / "ir_gt_velmora__velm_32b.json").read_text())
+    assert {"fleiss", "krippendorff", "spearman", "CA-3", "F1-0", "Macro-F1"} <= set(one["metrics"]) and one["CM"]["0"]["0"] + one["CM"]["0"]["5"] == 7
+    assert cli.main(["collect_ir_metrics", "--input", str(tmp_path / "ir"), "--output", str(tmp_path / "sum")]) == 0
+    assert {r["annotator"] for r in json.loads((tmp_path / "sum" / "top_n.json").read_text())} == {"velmora__velm_32b", "plain"}
+    assert "velm\\_32b" in (tmp_path / "sum" / "ir_summary_gt.tex").read_text()
+    (tmp_path / "ir" / "de" / "ir_a_b.json").write_text("{}")
+    with pytest.raises(Exception, match="no ground truth"):
+        files.metric_results(spark, str(tmp_path / "ir")).collect()
+    assert cli.main(["plot_scores", "--input", str(tmp_path / "ann"), "--output", str(tmp_path / "plot")]) == 0
+    assert all((tmp_path / "plot" / f"{n}.json").exists() for n in ("histogram", "differences", "quartiles", "confusion", "invalid"))
+
+
+def test_pair_statistics_from_cells_equal_those_of_items(spark):
+    r = random.Random(5)
+    rows = [(float(r.randint(0, 5)), float(r.randint(0, 5))) for _ in range(60)]
+    p = rater_pairs(spark, rows)
+    items = p.select("annotator_0", "annotator_1", "doc_id", F.explode(F.array("score_0", "score_1")).alias("score"))
+    ct = agreement.contingency(p)
+    assert agreement.pair_fleiss(ct).first().fleiss == pytest.approx(agreement.fleiss(items, agreement.PAIR).first().fleiss)
+    assert agreement.pair_krippendorff(ct).first().krippendorff == pytest.approx(agreement.krippendorff(items, agreement.PAIR).first().krippendorff)
+
+
+def test_scores_go_back_to_raw_files_of_the_same_name(spark, tmp_path):
+    from corpusmill import cli
+
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "r.jsonl").write_text("".join(json.dumps({"id": str(i)}) + "\n" for i in (2, 1, 0)))
+    (tmp_path / "annotations_m.jsonl").write_text("".join(json.dumps(annotation(str(i), "a/m", [s], "/old/place/r.jsonl")) + "\n" for i, s in ((0, 1.0), (1, 2.5), (2, 3.0), (0, 4.0))))
+    assert cli.main(["aggregate_scores", "--input", str(tmp_path), "--output", str(tmp_path / "o"), "--raw", str(tmp_path / "raw"), "--raw-lookup", str(tmp_path / "raw"), "--aggregation", "max"]) == 0
+    got = lines_of(tmp_path / "o" / "r_a__m_aggregated_scores_max.jsonl")
+    assert [(r["id"], r["score"]) for r in got] == [("2", 3.0), ("1", "invalid"), ("0", 4.0)]  # the last annotation of a document wins
+    (tmp_path / "h.jsonl").write_text('{"document_id": "7", "scores": [1, 1, 3]}\n')
+    assert cli.main(["aggregate_human_annotations", "--input", str(tmp_path / "h.jsonl"), "--output", str(tmp_path / "h")]) == 0
+    assert lines_of(tmp_path / "h" / "h_aggregated_scores_majority.jsonl") == [{"document_id": "7", "score": 1.0, "aggregation_type": "majority"}]
+    assert cli.main(["remove_field_from_jsonl_file", "--input", str(tmp_path / "h.jsonl"), "--output", str(tmp_path / "c"), "--field", "scores"]) == 0
+    assert lines_of(tmp_path / "c" / "h.jsonl") == [{"document_id": "7"}]
+
+
+def test_batch_requests_are_sliced_per_file(spark, tmp_path):
+    from corpusmill import cli
+
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.jsonl").write_text("".join(json.dumps({"id": str(i), "text": "x", "metadata": {"language": "en"}}) + "\n\n" for i in range(25)))
+    (tmp_path / "p.yaml").write_text("prompt: 'Rate {placeholder}'\nprompt_name: edu\n")
+    assert cli.main(["collect_requests", "--input", str(tmp_path / "raw"), "--output", str(tmp_path / "c"), "--prompt", str(tmp_path / "p.yaml"), "--options", '{"max_tokens": 5, "seed": 1}']) == 0
+    assert cli.main(["submit_batch_requests", "--input", str(tmp_path / "c" / "generated_annotations"), "--output", str(tmp_path / "b"), "--model", "gpt-5-mini", "--size", "10", "--limit", "22"]) == 0
+    got = {p.name: [r["custom_id"] for r in lines_of(p)] for p in (tmp_path / "b").rglob("*.jsonl")}
+    assert got == {"offset_0.jsonl": [str(i) for i in range(10)], "offset_10.jsonl": [str(i) for i in range(10, 20)], "offset_20.jsonl": ["20", "21"]}
+    r = lines_of(next((tmp_path / "b").rglob("offset_0.jsonl")))[0]
+    assert r["body"]["model"] == "gpt-5-mini" and r["body"]["seed"] == 1 and "max_tokens" not in r["body"] and r["body"]["messages"][0]["content"] == "Rate x"
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "n.jsonl").write_text(json.dumps(annotation("1", "m", [1.0], "f")) + "\n")
+    with pytest.raises(Exception, match="no request"):
+        cli.main(["submit_batch_requests", "--input", str(tmp_path / "plain"), "--output", str(tmp_path / "d"), "--model", "m"])
+
+
+class Lossy(tokens.CharacterTokenizer):
+    def decode(self, ids):
+        return super().decode(ids).lower()
+
+    def template(self, messages):
+        return "".join(f"<{m['role']}>{m['content']}" for m in messages)
+
+
+def test_prompts_are_cut_to_tokens(spark):
+    d = spark.createDataFrame([(1, "ABCDEFGHIJ"), (2, "abc"), (3, None), (4, "")], "i int, text string")
+    got = {r.i: r for r in tokens.truncated_prompts(d, "text", "R {{x}} {t}!", "t", Lossy(), 20, [{"role": "system", "content": "s"}]).collect()}
+    assert got[1].prompt is not None and list(got[1].tags) == ["truncated", "detokenization_mismatch"] or list(got[1].tags) == ["truncated"]
+    assert got[2].tags == [] or list(got[2].tags) == ["truncated"]
+    assert got[3].prompt is None and got[4].prompt == "<system>s<user>R {x} !"
+    wide = {r.i: r for r in tokens.truncated_prompts(d, "text", "R {t}", "t", Lossy(), 8 + 4, []).collect()}
+    assert wide[1].prompt == "<user>R abcd" and list(wide[1].tags) == ["truncated", "detokenization_mismatch"] and "8 differing" in wide[1].errors[0]
+    assert wide[2].prompt == "<user>R abc" and wide[2].tags == []
+    t = {r.i: r for r in tokens.tokenised(d, ["i"], "text", tokens.CharacterTokenizer(), 4, F.array(F.lit(1.0))).collect()}
+    assert list(t[2].input_ids) == [97, 98, 99, 0] and list(t[2].attention_mask) == [1, 1, 1, 0] and list(t[1].input_ids) == [65, 66, 67, 68] and list(t[3].input_ids) == [0] * 4
+    with pytest.raises(Exception, match="more than 4 tokens"):
+        tokens.tokenised(d, ["i"], "text", tokens.CharacterTokenizer(), 4, truncation=False).collect()
+    w = tokens.WordTokenizer()
+    assert w.decode(w.encode("a  b\nc ")) == "a  b\nc "
+
+
+def test_all_classifier_metrics(spark):
+    r = random.Random(6)
+    rows = [("a", float(r.randint(0, 3)), r.random() * 3) for _ in range(100)] + [("b", r.random(), r.random()) for _ in range(20)]
+    got = {(x.task, x.metric): x.value for x in classifier.metrics(spark.createDataFrame(rows, "task string, truth double, pred double"), {"a": 4, "b": 2}).collect()}
+    t, p = [x[1] for x in rows[:100]], [float(round(x[2])) for x in rows[:100]]
+    f1 = lambda c: 2 * sum(a == c and b == c for a, b in zip(t, p)) / max(1, sum(a == c for a in t) + sum(b == c for b in p))
+    classes = sorted(set(t) | set(p))
+    assert got["a", "classification/accuracy"] == pytest.approx(sum(a == b for a, b in zip(t, p)) / 100)
+    assert got["a", "classification/f1_macro"] == pytest.approx(sum(map(f1, classes)) / len(classes))
+    assert got["a", "classification/f1_weighted"] == pytest.approx(sum(f1(c) * t.count(c) for c in classes) / 100)
+    assert got["a", "class_f1/f1_class_2"] == pytest.approx(f1(2.0))
+    tb, pb = [float(x >= 2) for x in t], [float(x >= 2) for x in p]
+    fb = lambda c: 2 * sum(a == c and b == c for a, b in zip(tb, pb)) / (tb.count(c) + pb.count(c))
+    assert got["a", "binary/t2/f1_macro"] == pytest.approx((fb(0.0) + fb(1.0)) / 2) and ("a", "binary/t4/accuracy") not in got
+    assert ("b", "classification/accuracy") not in got and ("b", "binary/t1/accuracy") in got and ("b", "spearman_corr") in got
+
+
+def test_head_with_evaluation_and_axes(spark):
+    h = head.Head.fresh(4, 8, 1, scale=10)
+    assert abs(h.w2).max() > 1 / 8**0.5 and h.b2[0] == 2.5
+    r = random.Random(3)
+    e = [[r.uniform(-1, 1) for _ in range(4)] for _ in range(240)]
+    df = spark.createDataFrame([(i, x, [2.5 + x[0]]) for i, x in enumerate(e)], "i int, x array<float>, y array<double>")
+    got, losses = head.train(df.filter("i < 200"), "x", "y", h, epochs=8, rate=0.05, steps=3, evaluation={"val": df.filter("i >= 200")})
+    assert losses[-1] < losses[0] and head.error(df.filter("i >= 200"), "x", "y", got) < head.error(df.filter("i >= 200"), "x", "y", h)
+    with pytest.raises(ValueError):
+        head.train(df, "x", "y", h, epochs=1, evaluation={"val": df}, metric="eval_test_loss")
+    c, share = project.principal_components(df, "i", "x", 2)
+    assert c.count() == 240 and 0 < share[1] <= share[0] < 1
+
+
+def test_small_readers_and_gates(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        files.labelled_texts(spark, str(tmp_path / "no"))
+    with pytest.raises(ValueError):
+        files.labelled_texts(spark, str(tmp_path))
+    (tmp_path / "t.jsonl").write_text('{"text": "a", "scores": {"score": 2}}\n')
+    assert files.labelled_texts(spark, str(tmp_path)).first().scores.score == 2
+    (tmp_path / "batch_results.jsonl").write_text('{"response": {"body": {"model": "m", "usage": {"prompt_tokens": 1, "completion_tokens": 2, "total_tokens": 3}}}}\n{bad\n{"response": null}\n')
+    assert files.batch_results(spark, str(tmp_path)).first().cached_tokens == 0
+    assert tuple(files.batch_losses(spark, str(tmp_path)).first())[1:] == (1, 1)
+    (tmp_path / "d.jsonl").write_text('{"id": "1", "text": "a", "metadata": {"language": ""}}\n')
+    with pytest.raises(Exception, match="no metadata.language"):
+        files.documents(spark, str(tmp_path / "d.jsonl"), strict=True).collect()
+    cm = spark.createDataFrame([("m", "de", "f1", 1), ("m", "de", "f2", 1)], "annotator string, lang string, file string, n int")
+    with pytest.raises(Exception, match="several confusion"):
+        report.one_confusion(cm).collect()
+    with pytest.raises(ValueError):
+        report.longest_prefix(cm, "lang", spark.createDataFrame([("a" * i,) for i in range(1, 5)], "k string"), "k", 3)
+    x = annotate.translate(spark.createDataFrame([("a <keep>b c</keep> d",)], "t string"), "t", "en", ["de"], lambda ts, s, c: [f"[{t}]" for t in ts], ["en", "de"], ignore="keep")
+    assert x.first().translated == "[a ]b c[ d]"
+    n = corpus.numbered(spark.createDataFrame([("f", i * 50_000) for i in range(9)] + [("g", 3)], "file string, line_no bigint"), "file", "line_no", "at")
+    assert sorted((r.file, r.line_no, r["at"]) for r in n.collect()) == [("f", i * 50_000, i) for i in range(9)] + [("g", 3, 0)]
