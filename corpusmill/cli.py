@@ -60,8 +60,7 @@ def _prompted(spark, a):
 def _annotation_lines(rows, root, model: str, prompt: str, lang: str):
     names = [c.split()[0] for c in schemas.ANNOTATION.split(", ")] + (["request"] if "request" in rows.columns else [])
     src = F.col("meta_information.raw_data_file_path")
-    folder = F.regexp_extract(F.replace(src, F.lit(f"{root}/"), F.lit("")), r"^(.*/)?[^/]+$", 1)
-    name = F.concat(F.lit("generated_annotations/"), folder, sinks.annotation_file(src, F.lit(model), F.lit(prompt), F.lit(lang)))
+    name = F.concat(F.lit("generated_annotations/"), sinks.folder_below(src, str(root)), sinks.annotation_file(src, F.lit(model), F.lit(prompt), F.lit(lang)))
     return rows.select(name.alias("name"), "line_no", F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("value"))
 
 
@@ -189,7 +188,7 @@ def aggregate_scores(spark, a):
     for who in sorted(r[0] for r in s.select("annotator").distinct().collect()):  # one round an annotator
         last = votes.last_scores(s.filter(F.col("annotator") == who), "file", "line_no")
         mine = raw.join(last.select(F.col("raw_data_file_path").alias("file_path")).distinct(), "file_path", "left_semi")
-        left_out = sinks.aggregated_scores(mine, last, a.output, a.aggregation, a.id, who)
+        left_out = sinks.aggregated_scores(mine, last, a.output, a.aggregation, a.id, who, os.path.commonpath([str(Path(p).parent) for p in paths]))
         print(who, "incomplete files:", left_out)
     s.unpersist()
 

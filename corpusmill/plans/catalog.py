@@ -7,13 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill import schemas
 from corpusmill.functions import text as tx
 from corpusmill.functions import votes as vt
-from corpusmill.operators import agreement, annotate, classifier, corpus, head, report, votes
+from corpusmill.operators import agreement, annotate, classifier, corpus, head, project, report, tokens, votes
+from corpusmill.session import scratch
+from corpusmill.sources import files, sinks
 
 TRUTH = "human-panel__round-2"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,10 +188,7 @@ def threshold_agreement(s, d):
 
 @query(f"with {G} select annotator, count(*) as n, {R('avg((floor(truth + 0.5) = floor(pred + 0.5))::int)', 'acc')}, {R('avg(abs(truth - pred))', 'mae')}, {R('avg((truth - pred) * (truth - pred))', 'mse')} from g where truth is not null and pred is not null group by 1")
 def gt_error_metrics(s, d):
-    g = truth_rows(s, d).filter("truth is not null and pred is not null")
-    same = (tx.round_half_up(F.col("truth")) == tx.round_half_up(F.col("pred"))).cast("double")
-    diff = F.col("truth") - F.col("pred")
-    return g.groupBy("annotator").agg(F.count("*").alias("n"), F.avg(same).alias("acc"), F.avg(F.abs(diff)).alias("mae"), F.avg(diff * diff).alias("mse"))
+    return agreement.truth_metrics(truth_rows(s, d))
 
 
 @query(f"with {GC} select annotator, label, {R('case when tp + fn > 0 then tp / (tp + fn)::double else 0 end', 'class_accuracy')} from c")
@@ -271,9 +270,39 @@ def best_flags(s, d):
     return report.best_flags(w.cache(), ["acc", "mae", "invalid"])
 
 
-@query(f"with {LM} select lang, " + ", ".join(f"round(max(mae) filter (annotator = '{a}'), 6) + 0.0::double as \"{a}\"" for a in ("velmora__velm-32b-instruct", "talisk__talisk-8b", "orvane__orva-70b-chat")) + " from lm group by 1")
+NINE = ("brenno__brenno-14b-it", "kelvar__kelvar-9b-chat", "mirvel__mirvel-27b-it", "orvane__orva-70b-chat", "ossian__oss-mini", "quorlen__q-edu-7b", "sandor-lab__sl-3b", "talisk__talisk-8b", "velmora__velm-32b-instruct")
+
+
+@query(f"with {LM} select lang, " + ", ".join(f"round(max(mae) filter (annotator = '{a}'), 6) + 0.0::double as \"{a}\"" for a in NINE) + " from lm group by 1")
 def metric_pivot(s, d):
-    return report.pivot_metric(lang_metrics(s, d), "lang", "annotator", "mae", ["velmora__velm-32b-instruct", "talisk__talisk-8b", "orvane__orva-70b-chat"])
+    return report.pivot_metric(lang_metrics(s, d), "lang", "annotator", "mae")
+
+
+DIFF = "d as (select annotator_0, annotator_1, score_1 - score_0 as x, min(score_1 - score_0) over (partition by annotator_0, annotator_1) as lo, max(score_1 - score_0) over (partition by annotator_0, annotator_1) as hi from q)"
+
+
+@query(f"with {VP}, {DIFF} select {PK}, case when hi = lo then 1 else least(floor((x - lo) / (hi - lo) * 30) + 1, 30) end::bigint as bin, count(*) as n from d group by all")
+def difference_histogram(s, d):
+    return agreement.difference_histogram(pair_rows(s, d))
+
+
+@query(
+    f"with {VP}, o as (select {PK}, avg((r0 = r1)::int) as p, count(*)::double * 2 as t from q group by 1, 2), m as (select {PK}, r, count(*) as m from (select {PK}, r0 as r from q union all select {PK}, r1 from q) group by 1, 2, 3), "
+    f"e as (select {PK}, any_value(p) as p, sum((m / t) * (m / t)) as e from m join o using ({PK}) group by 1, 2) select {PK}, {R('case when e <> 1 then (p - e) / (1 - e) end', 'fleiss')} from e"
+)
+def pair_fleiss(s, d):
+    return agreement.pair_fleiss(agreement.rounded(agreement.contingency(pair_rows(s, d))))
+
+
+@query(
+    f"with {VP}, z as (select {PK}, score_0 as x, score_1 as y from q union all select {PK}, score_1, score_0 from q), co as (select {PK}, x, y, count(*)::double as o from z group by all), "
+    f"nx as (select {PK}, x, sum(o) as n, sum(sum(o)) over (partition by {PK} order by x) as cum, sum(sum(o)) over (partition by {PK}) as t from co group by {PK}, x), "
+    "dd as (select a.annotator_0, a.annotator_1, a.t, a.n * b.n as nn, coalesce(co.o, 0) as o, case when a.x = b.x then 0 else greatest(a.cum, b.cum) - least(a.cum - a.n, b.cum - b.n) - (a.n + b.n) / 2 end as dist "
+    "from nx a join nx b using (annotator_0, annotator_1) left join co on co.annotator_0 = a.annotator_0 and co.annotator_1 = a.annotator_1 and co.x = a.x and co.y = b.x) "
+    f"select {PK}, {R('1 - (any_value(t) - 1) * sum(o * dist * dist) / sum(nn * dist * dist)', 'krippendorff')} from dd group by 1, 2"
+)
+def pair_krippendorff(s, d):
+    return agreement.pair_krippendorff(agreement.contingency(pair_rows(s, d)))
 
 
 @query(f"with {VP} select {PK}, count(*) filter (score_0 = score_1) as same, count(*) filter (abs(score_0 - score_1) <= 1) as within_1, count(*) filter (abs(score_0 - score_1) > 1) as over_1, count(*) filter (abs(score_0 - score_1) > 2) as over_2, count(*) filter (score_0 > score_1) as larger_0, count(*) filter (score_1 > score_0) as larger_1, count(*) filter (score_0 >= 2 and score_1 >= 2) as both_2, count(*) filter (score_0 >= 2 or score_1 >= 2) as one_2, count(*) filter (score_0 >= 3 and score_1 >= 3) as both_3, count(*) filter (score_0 >= 3 or score_1 >= 3) as one_3, {R('avg(score_0)', 'mean_0')}, {R('avg(score_1)', 'mean_1')} from q group by 1, 2")
@@ -430,15 +459,24 @@ def id_set_ops(s, d):
 
 
 @query(
-    f"with {S()}, l as (select doc_id, path, any_value(score) as score from (select *, max(score) over (partition by doc_id, path) as m from s where annotator = 'velmora__velm-32b-instruct') where score is not distinct from m group by 1, 2), "
-    "r as (select distinct document_id as doc_id, metadata.file_path as file_path from random_documents), j as (select r.file_path, r.doc_id, l.score, l.doc_id is not null as matched from r left join l on l.doc_id = r.doc_id and l.path = r.file_path) "
-    f"select file_path, doc_id, {R('score', 'score')}, matched, count(*) filter (not matched) over (partition by file_path) = 0 as complete from j"
+    f"with {S()}, l as (select doc_id, path, annotator, max(score) as score from s group by 1, 2, 3), k as (select distinct annotator from s), "
+    "r as (select distinct document_id as doc_id, metadata.file_path as file_path, annotator from random_documents cross join k), j as (select r.*, l.score, l.doc_id is not null as matched from r left join l on l.doc_id = r.doc_id and l.path = r.file_path and l.annotator = r.annotator) "
+    f"select file_path, doc_id, annotator, {R('score', 'score')}, matched, count(*) filter (not matched) over (partition by file_path, annotator) = 0 as complete from j"
 )
 def docs_with_score_gate(s, d):
-    sc = scores(s, d).filter(F.col("annotator") == "velmora__velm-32b-instruct")
-    last = votes.last_scores(sc.withColumn("o", F.coalesce("score", F.lit(-1.0))), "o")
-    raw = t(s, d, "random_documents").select(F.col("document_id").alias("doc_id"), F.col("metadata.file_path").alias("file_path")).distinct()
-    return votes.join_scores(raw, last).select("file_path", "doc_id", "score", "matched", "complete")
+    sc = scores(s, d)
+    last = votes.last_scores(sc.withColumn("o", F.coalesce("score", F.lit(-1.0))), "o", by=["annotator"])
+    who = F.broadcast(sc.select("annotator").distinct())  # ten rows
+    raw = t(s, d, "random_documents").select(F.col("document_id").alias("doc_id"), F.col("metadata.file_path").alias("file_path")).distinct().join(who)
+    return votes.join_scores(raw, last, ["annotator"]).select("file_path", "doc_id", "annotator", "score", "matched", "complete")
+
+
+@query(f"with {S()} select doc_id, annotator, 'moved/' || replace(path, '/', '_') as raw_data_file_path, {R('score', 'score')} from s where replace(path, '/', '_') in (select replace(file_path, '/', '_') from raw_files)")
+def scores_retargeted(s, d):
+    flat = lambda c, folder: F.concat(F.lit(folder), F.replace(c, F.lit("/"), F.lit("_")))
+    there = t(s, d, "raw_files").select(flat(F.col("file_path"), "moved/").alias("file_path"))
+    old = scores(s, d).withColumn("raw_data_file_path", flat(F.col("raw_data_file_path"), "old/place/"))
+    return votes.retargeted(old, there).select("doc_id", "annotator", "raw_data_file_path", "score")
 
 
 @query("select doc_id from documents where length(text) > 0 and length(doc_id::varchar) > 0 and length(lang) > 0")
@@ -488,16 +526,47 @@ def classifier_spearman(s, d):
     return classifier.spearman(predictions(s, d))
 
 
+CT3 = "c as (select task, class, count(*) filter (truth = class and pred = class) as tp, count(*) filter (truth <> class and pred = class) as fp, count(*) filter (truth = class and pred <> class) as fn from p, k group by 1, 2), m as (select *, case when tp + fp > 0 then tp / (tp + fp)::double else 0 end as precision, case when tp + fn > 0 then tp / (tp + fn)::double else 0 end as recall, 2 * tp / (2 * tp + fp + fn)::double as f1, tp + fn as support from c)"
+ROUNDED = f"p as (select task, truth, round_even(pred, 0) as pred from ({PRED})), k as (select distinct truth as class from p union select distinct pred from p)"
+
+
 @query(
-    f"with p as (select task, truth, round_even(pred, 0) as pred from ({PRED})), k as (select distinct truth as class from p union select distinct pred from p), "
-    "c as (select task, class, count(*) filter (truth = class and pred = class) as tp, count(*) filter (truth <> class and pred = class) as fp, count(*) filter (truth = class and pred <> class) as fn from p, k group by 1, 2), "
-    "m as (select *, case when tp + fp > 0 then tp / (tp + fp)::double else 0 end as precision, case when tp + fn > 0 then tp / (tp + fn)::double else 0 end as recall, 2 * tp / (2 * tp + fp + fn)::double as f1, tp + fn as support from c) "
-    f"select task, class, {R('precision', 'precision')}, {R('recall', 'recall')}, {R('f1', 'f1')}, support, {R('sum(tp) over () / (sum(support) over ())::double', 'accuracy')}, {R('avg(f1) over ()', 'macro_f1')}, {R('sum(f1 * support) over () / (sum(support) over ())::double', 'weighted_f1')}, (sum(support) over ())::bigint as n from m"
+    f"with {ROUNDED}, {CT3} select task, class, {R('precision', 'precision')}, {R('recall', 'recall')}, {R('f1', 'f1')}, support, {R('sum(tp) over () / (sum(support) over ())::double', 'accuracy')}, "
+    + ", ".join(R(f"avg({x}) over ()", f"macro_{x}") + ", " + R(f"sum({x} * support) over () / (sum(support) over ())::double", f"weighted_{x}") for x in ("precision", "recall", "f1"))
+    + ", (sum(support) over ())::bigint as n from m"
 )
 def classification_report(s, d):
     return classifier.report(classifier.class_table(predictions(s, d), F.col("truth"), F.rint("pred")))
 
 
+@query(f"with {ROUNDED} select a.task, a.class as truth, b.class as pred, (select count(*) from p where truth = a.class and pred = b.class) as n from (select 'a' as task, class from k) a, k b")
+def classification_confusion(s, d):
+    return classifier.confusion(predictions(s, d), F.col("truth"), F.rint("pred"))
+
+
+def _averages(prefix: str) -> str:
+    f1 = "avg(f1)"
+    cols = {"accuracy": "sum(tp) / sum(support)::double", "f1_micro": "sum(tp) / sum(support)::double", "f1_macro": f1, "f1_weighted": "sum(f1 * support) / sum(support)::double"}
+    return " union all ".join(f"select 'a' as task, {prefix} || '{n}' as metric, {x} as value from {{m}}" for n, x in cols.items())
+
+
+def _binary(t: int) -> str:
+    return (
+        f"m{t} as (select *, 2 * tp / (2 * tp + fp + fn)::double as f1, tp + fn as support from (select class, count(*) filter (truth = class and pred = class) as tp, count(*) filter (truth <> class and pred = class) as fp, "
+        f"count(*) filter (truth = class and pred <> class) as fn from (select (truth >= {t})::int as truth, (pred >= {t})::int as pred from p), (select unnest([0, 1]) as class) group by 1))"
+    )
+
+
+@query(
+    f"with {ROUNDED}, {CT3}, " + ", ".join(_binary(x) for x in range(1, 6)) + f", raw as ({PRED}), q as (select rank() over (order by truth) + (count(*) over (partition by truth) - 1) / 2.0 as a, rank() over (order by pred) + (count(*) over (partition by pred) - 1) / 2.0 as b from raw), "
+    + "long as (" + _averages("'classification/'").replace("{m}", "m") + "".join(" union all " + _averages(f"'binary/t{x}/'").replace("{m}", f"m{x}") for x in range(1, 6))
+    + " union all select 'a', 'class_f1/f1_class_' || class::int, f1 from m where class in (select truth from p) union all select 'a', 'regression/mse', avg((truth - pred) * (truth - pred)) from raw union all select 'a', 'regression/mae', avg(abs(truth - pred)) from raw "
+    + f"union all select 'a', 'spearman_corr', corr(a, b) from q) select task, metric, {R('value', 'value')} from long"
+)
+def classifier_all_metrics(s, d):
+    return classifier.metrics(predictions(s, d), {"a": 6})
+
+
 @query("with p as (select case when doc_id % 7 = 0 then -100.0 else (n_chars % 6)::double end as truth, (n_chars % 5)::double as pred from documents) " f"select {R('avg((truth - pred) * (truth - pred))', 'loss')} from p where truth <> -100")
 def mse_masked(s, d):
     x = t(s, d, "documents").select(F.when(F.col("doc_id") % 7 == 0, -100.0).otherwise((F.col("n_chars") % 6).cast("double")).alias("truth"), (F.col("n_chars") % 5).cast("double").alias("pred"))
@@ -505,12 +574,34 @@ def mse_masked(s, d):
 
 
 @query()
-def head_predict(s, d):
-    e = t(s, d, "embeddings")
-    h, _ = head.train(e.withColumn("y", F.array(F.col("label").cast("double"))), "embedding", "y", head.Head.fresh(64, 16, 1), epochs=3)
+def head_train(s, d):
+    e = t(s, d, "embeddings").withColumn("y", F.array(F.col("label").cast("double")))
+    val = F.pmod(F.xxhash64("vec_id"), F.lit(5)) == 0
+    h, _ = head.train(e.filter(~val), "embedding", "y", head.Head.fresh(64, 16, 1), epochs=3, steps=2, evaluation={"val": e.filter(val)})
     return head.predict(e, "vec_id", "embedding", h).select("vec_id", F.col("prediction")[0].alias("prediction"))
 
 
+def _fixed_head() -> head.Head:
+    import numpy as np
+
+    i = np.arange(64)[:, None]
+    return head.Head(((i * 7 + np.arange(2)[None, :] * 3) % 11 - 5) / 10, np.array([0.25, -0.25]), np.array([[1.5], [-2.0]]), np.array([2.5]))
+
+
+def _unit(j: int, bias: float) -> str:
+    return f"greatest(0, list_sum([embedding[i + 1]::double * (((i * 7 + {j * 3}) % 11) - 5) / 10.0::double for i in range(64)]) + {bias}::double)"
+
+
+@query(f"select vec_id, {R(f'1.5::double * {_unit(0, 0.25)} - 2.0::double * {_unit(1, -0.25)} + 2.5::double', 'prediction')} from embeddings")
+def head_predict(s, d):
+    return head.predict(t(s, d, "embeddings"), "vec_id", "embedding", _fixed_head()).select("vec_id", F.col("prediction")[0].alias("prediction"))
+
+
+@query()
+def embedding_axes(s, d):
+    return project.principal_components(t(s, d, "embeddings"), "vec_id", "embedding", 2)[0]
+
+
 def _echo(prompts: list[str]) -> list:
     """A deterministic stand-in for a model service: three answers by the length of the prompt."""
     return [[f"Fits a lesson. Educational score: {(len(p) + k) % 6}" for k in range(3)] for p in prompts]
@@ -539,3 +630,147 @@ def translate_fake(s, d):
 def prompt_truncate(s, d):
     p = annotate.prompts(t(s, d, "documents").select("doc_id", "text"), "text", "Rate: {text}", "text", max_words=50)
     return p.select("doc_id", "prompt", F.when(F.col("text").isNotNull(), F.array_contains("tags", "truncated")).alias("truncated"))
+
+
+@query("select doc_id, c as target_code, c || ':' || 'a ' || text || c || ':' || ' b' as translated from (select doc_id, lang as text, unnest(['de', 'fr']) as c from documents where lang is not null)")
+def translate_ignored(s, d):
+    x = t(s, d, "documents").filter("lang is not null").select("doc_id", F.concat(F.lit("a <keep>"), "lang", F.lit("</keep> b")).alias("text"))
+    return annotate.translate(x, "text", "en", ["de", "fr"], _upper, list(schemas.LANGUAGES), ignore="keep").select("doc_id", "target_code", "translated")
+
+
+class LowerTokenizer(tokens.CharacterTokenizer):
+    """Code points that decode to lower case: what is cut does not always come back as it was."""
+
+    def decode(self, ids):
+        return super().decode(ids).lower()
+
+
+@query(
+    f"with c as (select doc_id, regexp_replace(translate(text, chr(10) || chr(13), '  '), '{PYWS}', ' ', 'g') as c from documents where regexp_full_match(coalesce(text, ''), '[\\x00-\\x7f]*')) "
+    "select doc_id, 'Rate: ' || case when length(c) > 94 then lower(left(c, 94)) else c end as prompt, length(c) > 94 as truncated, length(c) > 94 and lower(left(c, 94)) <> left(c, 94) as mismatch from c"
+)
+def prompt_truncate_tokens(s, d):
+    x = t(s, d, "documents").select("doc_id", "text").filter(F.coalesce("text", F.lit("")).rlike(r"^[\x00-\x7f]*$"))  # lower case differs between engines beyond
+    p = tokens.truncated_prompts(x, "text", "Rate: {text}", "text", LowerTokenizer(), 100)
+    has = lambda tag: F.when(F.col("text").isNotNull(), F.array_contains("tags", tag))
+    return p.select("doc_id", "prompt", has("truncated").alias("truncated"), has("detokenization_mismatch").alias("mismatch"))
+
+
+@query("select id, list_resize([ord(c) for c in string_split(left(coalesce(text, ''), 16), '') if c <> '']::int[], 16, 0) as input_ids, least(length(coalesce(text, '')), 16)::int as n_tokens, scores.score::double as label from labelled_texts")
+def batch_tokenise(s, d):
+    x = t(s, d, "labelled_texts")
+    got = tokens.tokenised(x, ["id"], "text", tokens.CharacterTokenizer(), 16, tx.normalise_scores(F.col("scores"), x.schema["scores"].dataType.simpleString()))
+    return got.select("id", "input_ids", F.aggregate("attention_mask", F.lit(0), lambda a, b: a + b.cast("int")).alias("n_tokens"), F.col("labels")[0].alias("label"))
+
+
+# ---------------------------------------------------------------------------------------------- files, written and read again
+
+
+def _numbered(x, by: str, order: list[str]):
+    return x.withColumn("line_no", F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1)
+
+
+def _stem(path: str) -> str:
+    return f"regexp_extract({path}, '([^/]+?)(\\.[^./]*)?$', 1)"
+
+
+@query("select doc_id, text, lang, (row_number() over (partition by source order by doc_id) - 1)::bigint as line_no, source || '.jsonl' as file from documents")
+def json_lines_files(s, d):
+    at = scratch(s)
+    x = _numbered(t(s, d, "documents"), "source", ["doc_id"]).select(F.concat("source", F.lit(".jsonl")).alias("name"), "line_no", F.to_json(F.struct("doc_id", "text", "lang")).alias("value"))
+    sinks.named_lines(x, at, "name", ["line_no"])
+    r = files.json_lines(s, at, "doc_id bigint, text string, lang string", pattern="*.jsonl", recursive=True)
+    return r.select("doc_id", "text", "lang", "line_no", F.regexp_extract("file", r"([^/]+)$", 1).alias("file"))
+
+
+@query(
+    "with a as (select *, row_number() over () as k from annotations), x as (select document_id, scores, meta_information.model as model, "
+    + _stem("meta_information.raw_data_file_path") + " || '__annotations_' || replace(coalesce(meta_information.model, ''), '/', '--') || '_' || coalesce(meta_information.prompt_name, '') || '_' || coalesce(meta_information.prompt_lang, '') || '.jsonl' as file from a) "
+    "select file, document_id, count(*) as n, min(len(scores))::int as votes from x where scores is not null and document_id is not null group by 1, 2"
+)
+def annotation_files(s, d):
+    at = scratch(s)
+    m = F.col("meta_information")
+    x = t(s, d, "annotations").filter("document_id is not null and scores is not null")
+    names = [c.split()[0] for c in schemas.ANNOTATION.split(", ")]
+    x = x.select(sinks.annotation_file(m["raw_data_file_path"], m["model"], m["prompt_name"], m["prompt_lang"]).alias("name"), "document_id", F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("value"))
+    sinks.named_lines(x, at, "name", ["document_id", "value"])
+    r = files.annotations(s, at, pattern="*__annotations_*.jsonl", recursive=True)
+    ordered = F.lag("document_id").over(Window.partitionBy("file").orderBy("line_no"))
+    bad = F.when(F.col("document_id") < F.col("_before"), F.raise_error(F.lit("file order lost"))).otherwise(True)
+    r = r.withColumn("_before", ordered).filter(bad)
+    return r.groupBy(F.url_decode(F.replace(F.regexp_extract("file", r"([^/]+)$", 1), F.lit("+"), F.lit("%2B"))).alias("file"), "document_id").agg(F.count("*").alias("n"), F.min(F.size("scores")).alias("votes"))
+
+
+@query(
+    f"with {S()}, l as (select doc_id, path, max(score) as score from s where annotator = 'talisk__talisk-8b' group by 1, 2), "
+    "r as (select distinct document_id as doc_id, metadata.file_path as path from random_documents where document_id in (select doc_id from l)), j as (select r.*, l.score, l.doc_id is not null as hit from r left join l using (doc_id, path)), "
+    "g as (select *, count(*) filter (not hit) over (partition by path) as misses from j) "
+    + "select regexp_extract(path, '^/*(.*/)?[^/]+$', 1) || " + _stem("path") + " || '_talisk__talisk-8b_aggregated_scores_majority.jsonl' as file, (row_number() over (partition by path order by doc_id) - 1)::bigint as line_no, doc_id as id, case when score is null then 'invalid' else (round(score, 6) + 0.0::double)::varchar end as score from g where misses = 0"
+)
+def score_files(s, d):
+    """Files of one annotator, whose documents all have a score: a file of the reference's tables is never complete otherwise."""
+    at = scratch(s)
+    last = votes.last_scores(scores(s, d).filter(F.col("annotator") == "talisk__talisk-8b").withColumn("o", F.coalesce("score", F.lit(-1.0))), "o")
+    raw = t(s, d, "random_documents").select(F.col("document_id").alias("doc_id"), F.col("metadata.file_path").alias("file_path")).distinct().join(last.select("doc_id").distinct(), "doc_id", "left_semi")
+    sinks.aggregated_scores(_numbered(raw, "file_path", ["doc_id"]), last, at, "majority", annotator="talisk__talisk-8b")
+    r = files.json_lines(s, at, "id string, score string", pattern="*_aggregated_scores_*.jsonl", recursive=True)
+    return r.select(F.substring_index("file", f"{at}/", -1).alias("file"), "line_no", "id", "score")
+
+
+@query(
+    "with r as (select doc_id, source, row_number() over (partition by source order by doc_id) - 1 as k from documents where length(text) > 0) "
+    "select source || '/offset_' || (k // 50 * 50) || '.jsonl' as file, (k % 50)::bigint as line_no, doc_id::varchar as custom_id from r where k < 120"
+)
+def batch_requests(s, d):
+    at = scratch(s)
+    x = _numbered(t(s, d, "documents"), "source", ["doc_id"]).filter("length(text) > 0")
+    x = annotate.prompts(x.withColumn("file", F.concat("source", F.lit(".jsonl"))), "text", "Rate: {text}", "text")
+    r = annotate.requests(x, "doc_id", "gpt-5-mini", {"max_tokens": 5, "seed": 1}).withColumn("value", annotate.request_line())
+    sinks.batch_requests(r, at, 50, 120)
+    back = files.json_lines(s, at, "custom_id string, body struct<model:string,max_tokens:int,seed:int>", pattern="offset_*.jsonl", recursive=True)
+    kept = F.when((F.col("body.model") != "gpt-5-mini") | F.col("body.max_tokens").isNotNull() | F.col("body.seed").isNull(), F.raise_error(F.lit("wrong options"))).otherwise(True)
+    return back.filter(kept).select(F.regexp_extract("file", r"([^/]+/[^/]+)$", 1).alias("file"), "line_no", "custom_id")
+
+
+@query("with o as (select doc_id, row_number() over (order by doc_id) - 1 as r from documents) select 'chunk=' || (r // 64) as folder, (r % 64)::bigint as line_no, doc_id from o")
+def chunk_files(s, d):
+    at = scratch(s)
+    sinks.chunks(corpus.chunked(t(s, d, "documents").select("doc_id"), ["doc_id"], 64).select("chunk", "line", "doc_id"), at, drop_order=True)
+    r = files.json_lines(s, at, "doc_id bigint", pattern="*.json", recursive=True)
+    return r.select(F.regexp_extract("file", r"(chunk=[^/]+)/[^/]+$", 1).alias("folder"), "line_no", "doc_id")
+
+
+@query("select file_path, md5(content) as md5 from (select source || '.txt' as file_path, string_agg(doc_id::varchar || chr(10), '' order by doc_id) as content from documents group by 1)")
+def file_digests(s, d):
+    at = scratch(s)
+    sinks.named_lines(t(s, d, "documents").select(F.concat("source", F.lit(".txt")).alias("name"), "doc_id", F.col("doc_id").cast("string").alias("value")), at, "name", ["doc_id"])
+    sinks.append_hashes(files.file_digests(s, files.find(at, "*.txt")), f"{at}/hashes.csv")
+    return files.hash_list(s, f"{at}/hashes.csv").select(F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file_path"), "md5")
+
+
+@query("select doc_id, case when lang is null then 1 else 2 end as fields from documents")
+def field_removed(s, d):
+    at = scratch(s)
+    x = t(s, d, "documents").select(F.lit("d.jsonl").alias("name"), "doc_id", F.to_json(F.struct("doc_id", "lang", "source")).alias("value"))
+    sinks.without_field(x.withColumn("line_no", F.col("doc_id")), "source", at)
+    return files.json_lines(s, at, "doc_id bigint, lang string, source string", pattern="*.jsonl").select("doc_id", (F.lit(1) + F.col("lang").isNotNull().cast("int") + F.col("source").isNotNull().cast("int")).alias("fields"))
+
+
+@query("select regexp_extract(meta_information.raw_data_file_path, '([^/]+)/[^/]+$', 1) as folder, count(*) as n, sum(len(scores))::bigint as prompt_tokens from annotations where scores is not null and meta_information.model is not null group by 1")
+def batch_usage(s, d):
+    at = scratch(s)
+    m = F.col("meta_information")
+    usage = F.struct(F.size("scores").cast("bigint").alias("prompt_tokens"), F.lit(1).cast("bigint").alias("completion_tokens"), F.size("scores").cast("bigint").alias("total_tokens"))
+    x = t(s, d, "annotations").filter("scores is not null").select(F.concat(F.regexp_extract(m["raw_data_file_path"], r"([^/]+)/[^/]+$", 1), F.lit("/batch_results.jsonl")).alias("name"), "document_id", F.to_json(F.struct(F.struct(F.struct(m["model"].alias("model"), usage.alias("usage")).alias("body")).alias("response"))).alias("value"))
+    sinks.named_lines(x, at, "name", ["document_id"])
+    return files.batch_results(s, at).groupBy("folder").agg(F.count("*").alias("n"), F.sum("prompt_tokens").alias("prompt_tokens"))
+
+
+@query(f"with {G} select lang, annotator, {R('avg(abs(truth - pred))', 'mae')} from g where lang is not null and truth is not null and pred is not null group by 1, 2")
+def metric_files(s, d):
+    at = scratch(s)
+    per = agreement.truth_metrics(truth_rows(s, d).filter("lang is not null"), ("lang", "annotator"))
+    line = F.to_json(F.struct(F.create_map(F.lit("mae"), F.col("mae")).alias("metrics"), F.create_map().cast("map<string,map<string,bigint>>").alias("CM")))
+    sinks.named_lines(per.select(F.concat("lang", F.lit("/ir_gt_"), "annotator", F.lit(".json")).alias("name"), "annotator", line.alias("value")), at, "name", ["annotator"])
+    return files.metric_results(s, at).select("lang", "annotator", F.col("metrics")["mae"].alias("mae"))

@@ -36,6 +36,12 @@ def stem_of(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)
 
 
+def folder_below(path: Column, root: str) -> Column:
+    """The folders between ``root`` and the file, with a slash behind them."""
+    rest = F.when(path.startswith(root.rstrip("/") + "/"), F.substr(path, F.lit(len(root.rstrip("/")) + 2))).otherwise(path) if root else path
+    return F.regexp_extract(rest, r"^/*(.*/)?[^/]+$", 1)
+
+
 def annotation_file(source: Column, model: Column, prompt: Column, lang: Column) -> Column:
     """``annotation_name`` as a column; unknown parts are empty."""
     e = lambda c: F.coalesce(c, F.lit(""))
@@ -78,9 +84,9 @@ def ordered_json(df: DataFrame, path: str, by: Sequence[str], order: Sequence[st
     d.write.mode(mode).partitionBy(*by).json(path)
 
 
-def chunks(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def chunks(df: DataFrame, path: str, mode: str = "overwrite", drop_order: bool = True) -> None:
     """``chunk=i`` folders of a chunked frame."""
-    ordered_json(df, path, ["chunk"], ["line"], mode=mode)
+    ordered_json(df, path, ["chunk"], ["line"], drop_order, mode)
 
 
 def splits(df: DataFrame, path: str, order: Sequence[str]) -> None:
@@ -93,15 +99,15 @@ def score_lines(df: DataFrame, strategy: str, id_field: str = "id") -> Column:
     return F.when(F.col("score").isNull(), line(F.lit("invalid"))).otherwise(line(F.col("score")))
 
 
-def aggregated_scores(raw: DataFrame, scores: DataFrame, path: str, strategy: str, id_field: str = "id", annotator: str = "") -> list[str]:
-    """Scores of complete files only, in raw order, one file ``<stem>_<annotator>_aggregated_scores_<strategy>.jsonl`` for each.
+def aggregated_scores(raw: DataFrame, scores: DataFrame, path: str, strategy: str, id_field: str = "id", annotator: str = "", root: str = "") -> list[str]:
+    """Scores of complete files only, in raw order, one file ``<folders below root>/<stem>_<annotator>_aggregated_scores_<strategy>.jsonl`` for each.
 
     raw: ``file_path, doc_id, line_no``. Returns the files left out because a document had no annotation.
     """
     j = votes.join_scores(raw, scores)
     left_out = sorted(r[0] for r in _rows(j.filter("not complete").select("file_path").distinct()))
     tag = f"_{annotator}" if annotator else ""
-    ok = j.filter("complete").select("line_no", score_lines(j, strategy, id_field).alias("value"), F.concat(stem_of(F.col("file_path")), F.lit(f"{tag}_aggregated_scores_{strategy}.jsonl")).alias("name"))
+    ok = j.filter("complete").select("line_no", score_lines(j, strategy, id_field).alias("value"), F.concat(folder_below(F.col("file_path"), root), stem_of(F.col("file_path")), F.lit(f"{tag}_aggregated_scores_{strategy}.jsonl")).alias("name"))
     named_lines(ok, path, "name", ["line_no"])
     return left_out
 
