@@ -60,8 +60,3 @@ def lines_of(text: Column | str) -> Column:
 def hash_order(seed: int, col: Column | str) -> Column:
     """A seeded pseudo-random order of ids that any SQL engine can repeat."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).cast("string")))
-
-
-def checkpoint_root(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names, or None where none is set (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None)

@@ -8,7 +8,6 @@ a token then finds its result by position. The blocks are cut from their lineage
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -19,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.common import checkpoint_root
 from corpusmill.llm.tokenizer import SPLIT
+from corpusmill.session import shared_folder
 
 #: A block ends with the document that brings it to this many tokens.
 BLOCK_TOKENS = 400_000
@@ -30,10 +29,7 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        root = checkpoint_root(df.sparkSession)
-        if root is None and not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="corpusmill-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
