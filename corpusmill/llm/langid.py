@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from corpusmill.llm import wordtable
 from corpusmill.llm.common import recorded_language
 
-#: Labels the model learns; ``random`` stands for texts of shuffled letters.
-LANGUAGES = ("bg", "cs", "da", "de", "el", "en", "es", "fr", "it", "nl", "pl", "pt", "sv", "random")
-#: Bound of the training sample: about this many labelled documents of each language, chosen by a hash of the id.
+#: Bound of the training sample: about this many labelled documents of each label, chosen by a hash of the id.
 SAMPLE_DOCS = 250
+#: Documents that a label needs to be learnt, and bound of the labels; more are rejected, never cut.
+LEAST_DOCS, MAX_LABELS = 4, 300
 MAX_N = 5
 #: A line counts as foreign when its words favour its language over the document's by this much (log10, summed).
 LINE_MARGIN = 3.0
@@ -68,41 +68,57 @@ def _letters(text: str) -> list[str]:
     return regex.findall(r"\p{L}+", text.lower())
 
 
-def fit(samples: list[tuple[str, str]], languages: tuple[str, ...] = LANGUAGES, rounds: int = 2) -> Model:
-    """Model of (label, text) pairs. Texts whose label the first model contradicts are left out of the second."""
-    at = {x: i for i, x in enumerate(languages)}
-    data = [(at[lab], _letters(t)) for lab, t in samples if lab in at and t]
-    model = None
-    for _ in range(rounds):
-        words, docs = [Counter() for _ in languages], Counter()
-        grams = [[Counter() for _ in languages] for _ in range(MAX_N)]
-        for lab, ws in data:
-            if model is not None and ws:
-                known = Counter(ws)
-                s = sum(n * model.score(w) for w, n in known.items())
-                if int(np.argmax(s)) != lab:
-                    continue
-            words[lab].update(ws)
-            docs.update(set(ws))
-        for lab, c in enumerate(words):
-            for w, n in c.items():
-                p = f" {w} "
-                for k in range(1, MAX_N + 1):
-                    g = grams[k - 1][lab]
-                    for i in range(len(p) - k + 1):
-                        g[p[i : i + k]] += n
-        for lab, c in enumerate(words):  # a word of fewer than three documents is left to its n-grams
-            for w in [w for w in c if docs[w] < 3]:
-                del c[w]
-        model = Model(languages, _log_table(words, 1), [_log_table(g, 2) for g in grams])
-    return model
-
-
-def training_sample(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES, bound: int = SAMPLE_DOCS, doc: str = "document_id", text: str = "text", language: str = "metadata.language") -> list[tuple[str, str]]:
-    d = docs.select(F.col(doc).alias("id"), F.col(text).alias("text"), recorded_language(language).alias("lab")).filter(F.col("lab").isin(*languages))
-    n = d.groupBy("lab").agg(F.count("*").alias("n"))
-    share = F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1 << 20)) < F.lit(float(bound) * (1 << 20)) / F.col("n")
-    rows = d.filter("length(text) > 0").join(F.broadcast(n), "lab").filter(share).select("lab", "text").collect()  # n: one row a language
+def _model(data: list[tuple[int, list[str]]], languages: tuple[str, ...]) -> Model:
+    words, docs = [Counter() for _ in languages], Counter()
+    grams = [[Counter() for _ in languages] for _ in range(MAX_N)]
+    for lab, ws in data:
+        words[lab].update(ws)
+        docs.update(set(ws))
+    for lab, c in enumerate(words):
+        for w, n in c.items():
+            p = f" {w} "
+            for k in range(1, MAX_N + 1):
+                g = grams[k - 1][lab]
+                for i in range(len(p) - k + 1):
+                    g[p[i : i + k]] += n
+    for c in words:  # a word of fewer than three documents is left to its n-grams
+        for w in [w for w in c if docs[w] < 3]:
+            del c[w]
+    return Model(languages, _log_table(words, 1), [_log_table(g, 2) for g in grams])
+
+
+def _best(model: Model, words: list[str]) -> int:
+    return int(np.argmax(sum(n * model.score(w) for w, n in Counter(words).items())))
+
+
+def fit(samples: list[tuple[str, str]]) -> Model:
+    """Model of (label, text) pairs, with the languages that the labels name.
+
+    Each half of the texts is told by a model of the other half. A label most of whose texts are told to be something else names no language
+    (``und``, ``unknown``) and is left out, and so are single texts that are told otherwise; the model is made of the others.
+    """
+    names = tuple(sorted({lab for lab, t in samples if t}))
+    at = {x: i for i, x in enumerate(names)}
+    data = [(at[lab], ws) for lab, t in samples if t and (ws := _letters(t))]
+    halves = [data[::2], data[1::2]]
+    models = [_model(h, names) for h in halves]
+    told = [(lab, ws, _best(models[1 - i], ws)) for i, h in enumerate(halves) for lab, ws in h]
+    texts, right = Counter(lab for lab, _, _ in told), Counter(lab for lab, _, best in told if lab == best)
+    real = [i for i in range(len(names)) if 2 * right[i] >= texts[i] > 0]
+    new = {old: i for i, old in enumerate(real)}
+    return _model([(new[lab], ws) for lab, ws, best in told if lab == best and lab in new], tuple(names[i] for i in real))
+
+
+def training_sample(docs: DataFrame, bound: int = SAMPLE_DOCS, doc: str = "document_id", text: str = "text", language: str = "metadata.language") -> list[tuple[str, str]]:
+    """(label, text) of about ``bound`` documents of every label that ``LEAST_DOCS`` documents have."""
+    d = docs.select(F.col(doc).alias("id"), F.col(text).alias("text"), recorded_language(language).alias("lab")).filter("lab is not null and length(text) > 0")
+    n = d.groupBy("lab").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_DOCS).limit(MAX_LABELS + 1).collect()
+    if len(n) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} language labels")
+    if not n:
+        return []
+    share = F.create_map(*[x for r in n for x in (F.lit(r["lab"]), F.lit(min(1 << 20, int(bound * (1 << 20) / r["n"]) + 1)))])
+    rows = d.filter(F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1 << 20)) < share[F.col("lab")]).select("lab", "text").collect()
     return sorted((r["lab"], r["text"]) for r in rows)
 
 
@@ -111,7 +127,7 @@ def _word_scores(bc):
         model, out = bc.value, []
         for w in words:
             w = w.strip().lower()
-            out.append(model.score(w).tolist() if w.isalpha() else [])
+            out.append(model.score(w).tolist() if w.isalpha() and model.languages else [])
         return out
 
     return fn
@@ -145,7 +161,7 @@ def segments(docs: DataFrame, keys: list[str], text: str = "text", model: Model
         (F.length("word") - F.length(F.replace("word", F.lit("\n"), F.lit("")))).alias("nl"),
         F.when(F.col("word").rlike(r"(?U)^\s+$"), 2).when(F.col("word").startswith(" "), 1).otherwise(0).alias("ws"),
     )
-    langs = model.languages
+    langs = model.languages or ("",)  # without any label nothing is scored
     L = len(langs)
 
     def back(row: dict) -> pa.RecordBatch:

@@ -4,16 +4,21 @@
 token, the position of its word among them. Everything that is a function of a word (ids, token counts, language scores)
 is computed on the table of all distinct words and joined to the words of the blocks, which are far fewer than the tokens;
 a token then finds its result by position. The blocks are cut from their lineage, so texts are split once.
+
+Words that stand in very many blocks would be hot keys of that join. Their results travel by broadcast (``HOT_WORDS`` of them at most); which words those
+are is told by some blocks, and makes no difference to any result.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +28,8 @@ from corpusmill.session import shared_folder
 
 #: A block ends with the document that brings it to this many tokens.
 BLOCK_TOKENS = 400_000
+#: Bound of the words whose results are broadcast, and of the blocks that are asked for them.
+HOT_WORDS, ASKED_BLOCKS = 20_000, 64
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -52,7 +59,7 @@ def blocks(docs: DataFrame, keys: list[str], text: str = "text", doc_freq: bool
     that hold each word (empty unless asked for).
     """
     d = docs.select(*keys, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit("(?U)" + SPLIT), F.lit(0)).alias("_w"))
-    fields = [T.StructField("block", T.StringType()), T.StructField("words", T.ArrayType(T.StringType())), T.StructField("ends", T.ArrayType(T.IntegerType()))]
+    fields = [T.StructField("block", T.BinaryType()), T.StructField("words", T.ArrayType(T.StringType())), T.StructField("ends", T.ArrayType(T.IntegerType()))]
     fields += [T.StructField("idx", T.BinaryType()), T.StructField("df", T.ArrayType(T.IntegerType()))]
     fields += [T.StructField(k, T.ArrayType(d.schema[k].dataType)) for k in keys]
 
@@ -68,7 +75,7 @@ def blocks(docs: DataFrame, keys: list[str], text: str = "text", doc_freq: bool
             seen = np.unique(doc * np.int64(len(enc.dictionary) + 1) + idx)
             df = np.bincount(seen % (len(enc.dictionary) + 1), minlength=len(enc.dictionary)).astype(np.int32)
         wrap = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-        cols = [pa.array([uuid.uuid4().hex]), wrap(enc.dictionary), wrap(pa.array(ends)), pa.array([_narrow(idx, len(enc.dictionary))], pa.binary()), wrap(pa.array(df))]
+        cols = [pa.array([uuid.uuid4().bytes], pa.binary()), wrap(enc.dictionary), wrap(pa.array(ends)), pa.array([_narrow(idx, len(enc.dictionary))], pa.binary()), wrap(pa.array(df))]
         return pa.RecordBatch.from_arrays(cols + [wrap(rows.column(k)) for k in keys], ["block", "words", "ends", "idx", "df", *keys])
 
     def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,17 +105,53 @@ def word_values(words: DataFrame, fn: Callable[[list[str]], list], kind: str) ->
     return words.mapInPandas(part, f"word string, value {kind}")
 
 
-def attach(b: DataFrame, values: DataFrame) -> DataFrame:
-    """Blocks with ``value``: the array of their words' values, in the order of ``words``."""
-    x = b.select("block", F.posexplode("words").alias("i", "word")).join(values, "word")
-    per = x.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("v"))
-    return b.drop("words").join(per.select("block", F.transform("v", lambda s: s["value"]).alias("value")), "block", "left")
+@dataclass
+class Attached:
+    """Blocks with ``at, value`` of their rarer words, and the results of the frequent ones."""
+
+    df: DataFrame
+    words: pa.Array
+    values: pa.Array
+
+
+def hot_words(b: DataFrame) -> list[str]:
+    """The words that stand in most of some blocks: at least two and a quarter of them."""
+    n = b.count()
+    some = b if n <= ASKED_BLOCKS else b.filter(F.pmod(F.xxhash64("block"), F.lit(n)) < ASKED_BLOCKS)
+    counts = some.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= max(2, min(n, ASKED_BLOCKS) // 4))
+    return [r[0] for r in counts.orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()]
+
+
+def attach(b: DataFrame, values: DataFrame) -> Attached:
+    """Blocks with the values (``word, value``) of their words."""
+    hot = b.sparkSession.createDataFrame([(w,) for w in hot_words(b)], "word string")
+    table = values.join(F.broadcast(hot), "word", "left_semi").select("word", "value").toArrow().combine_chunks()
+    chunk = lambda name: pa.concat_arrays(c) if (c := table.column(name).chunks) else pa.array([], table.schema.field(name).type)
+    x = b.select("block", F.posexplode("words").alias("i", "word")).join(F.broadcast(hot), "word", "left_anti").join(values, "word")
+    per = x.groupBy("block").agg(F.collect_list(F.struct("i", "value")).alias("v"))
+    per = per.select("block", F.transform("v", lambda s: s["i"]).alias("at"), F.transform("v", lambda s: s["value"]).alias("value"))
+    return Attached(b.join(per, "block", "left"), chunk("word").cast(pa.string()), chunk("value"))
+
+
+def _values(row: dict, words: pa.Array, values: pa.Array) -> pa.Array:
+    """The values of a block's words, in their order, from its own and the broadcast ones."""
+    own, at = row["value"], row.pop("at").to_numpy(zero_copy_only=False).astype(np.int64)
+    mine = row.pop("words")
+    place = pc.index_in(mine, words)
+    hot = place.is_valid().to_numpy(zero_copy_only=False)
+    where = np.zeros(len(mine), np.int64)
+    where[hot] = len(own) + place.drop_null().to_numpy().astype(np.int64)
+    where[at] = np.arange(len(at))
+    both = pa.concat_arrays([own, values.cast(own.type)]) if len(values) else own
+    return both.take(pa.array(where))
 
 
-def per_block(b: DataFrame, fn: Callable[[dict], pa.RecordBatch], schema: str) -> DataFrame:
-    """fn gets one block as a dict of Arrow arrays (list columns unpacked) and gives the rows of its documents."""
+def per_block(a: Attached, fn: Callable[[dict], pa.RecordBatch], schema: str) -> DataFrame:
+    """fn gets one block as a dict of Arrow arrays (list columns unpacked), with ``value`` for each of its words, and gives the rows of its documents."""
+    bc = a.df.sparkSession.sparkContext.broadcast((a.words, a.values))  # HOT_WORDS entries at most
 
     def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, values = bc.value
         for rows in it:
             for r in range(rows.num_rows):
                 row = {}
@@ -117,9 +160,10 @@ def per_block(b: DataFrame, fn: Callable[[dict], pa.RecordBatch], schema: str) -
                         row[name] = col.slice(r, 1).flatten()
                     else:
                         row[name] = col[r]
+                row["value"] = _values(row, words, values)
                 yield fn(row)
 
-    return b.mapInArrow(part, schema)
+    return a.df.mapInArrow(part, schema)
 
 
 def token_sums(row: dict, per_word: np.ndarray) -> np.ndarray:
@@ -129,4 +173,4 @@ def token_sums(row: dict, per_word: np.ndarray) -> np.ndarray:
     return run[ends] - run[np.concatenate([[0], ends[:-1]])] if len(ends) else np.zeros(0)
 
 
-__all__ = ["attach", "blocks", "cut", "distinct_words", "per_block", "positions", "token_sums", "word_values"]
+__all__ = ["Attached", "attach", "blocks", "cut", "distinct_words", "per_block", "positions", "token_sums", "word_values"]

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bitmap, budget, consensus, cutoff, encode, langid, lines, overlap, pack, pii, quota, tokenizer
+from corpusmill.llm import bitmap, budget, consensus, cutoff, encode, langid, lines, overlap, pack, pii, quota, tokenizer, wordtable
 
 DOC = "document_id string, text string, metadata struct<url:string,language:string,dump:string,token_count:int>, scores struct<score:double>, lang string, site string, label bigint, k string"
 
@@ -163,9 +163,10 @@ def test_language_of_documents_and_lines(spark, empty_docs):
 
 
 def test_words_unknown_to_the_model_fall_back_to_their_characters():
-    m = langid.fit([("en", EN)] * 4 + [("de", DE)] * 4, ("en", "de"))
-    assert m.score("the")[0] > m.score("the")[1]
-    assert m.score("derr")[1] > m.score("derr")[0]
+    m = langid.fit([("en", EN)] * 8 + [("de", DE)] * 8 + [("und", EN), ("und", DE)] * 3)
+    assert m.languages == ("de", "en")  # und names no language
+    assert m.score("the")[1] > m.score("the")[0]
+    assert m.score("derr")[0] > m.score("derr")[1]
 
 
 # -------------------------------------------------------------------------------------------------------------- overlap
@@ -291,6 +292,17 @@ def test_paths_over_the_trie_are_the_tokenizers(spark):
         budget._unigram_counts("piece_bpe_32k", tokenizer.DEFAULT_DIR)(["a"])
 
 
+def test_results_of_frequent_and_rare_words_meet_in_every_block(spark):
+    r = random.Random(16)
+    rows = [(i, " ".join(r.choices(["the", "of", "and", f"rare{i}", f"odd{i % 7}"], k=30))) for i in range(200)] + [(200, None), (201, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    b = wordtable.blocks(df, ["doc_id"])
+    hot = wordtable.hot_words(b)
+    assert {" the", " of", " and"} <= set(hot) and b.count() >= 5
+    enc = tokenizer.byte_bpe()
+    assert {x.doc_id: list(x.ids) for x in encode.encode(df).collect()} == {i: enc.encode_ordinary(t or "") for i, t in rows}
+
+
 def test_packing_is_whole_and_within_capacity(spark):
     r = random.Random(7)
     rows = [(i, "word%d " % (i % 7) * r.randint(0, 200), f"s{i % 5}") for i in range(300)] + [(300, None, None), (301, "", "s1"), (302, "long " * 5000, "s1")]
