@@ -179,7 +179,6 @@ def token_counts(docs: DataFrame, keys: list[str], text: str = "text", vocabular
     """``<keys>, n_tokens``: one row per input row, without special tokens; null and empty texts have 0 tokens."""
     fn = {"bpe": _path_counts, "unigram": _unigram_counts}[kind](vocabulary, folder)
     b = wordtable.blocks(docs, keys, text)
-    values = wordtable.word_values(wordtable.distinct_words(b), fn, "int")
 
     def back(row: dict) -> pa.RecordBatch:
         per_word = row["value"].to_numpy(zero_copy_only=False).astype(np.int64) if len(row["value"]) else np.zeros(0, np.int64)
@@ -187,7 +186,7 @@ def token_counts(docs: DataFrame, keys: list[str], text: str = "text", vocabular
         return pa.RecordBatch.from_arrays([*(row[k] for k in keys), pa.array(n)], [*keys, "n_tokens"])
 
     schema = ", ".join(f"{k} {docs.schema[k].dataType.simpleString()}" for k in keys)
-    return wordtable.per_block(wordtable.attach(b, values), back, schema + ", n_tokens bigint")
+    return wordtable.per_block(wordtable.attach(b, wordtable.distinct_words(b), lambda words: wordtable.word_values(words, fn, "int")), back, schema + ", n_tokens bigint")
 
 
 def _slim(docs: DataFrame) -> DataFrame:

@@ -27,7 +27,6 @@ def encode(docs: DataFrame, doc: str = "doc_id", text: str = "text", name: str =
     Special tokens in a text are ordinary text. Null ids and repeated rows are kept as they are.
     """
     b = wordtable.blocks(docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")), ["doc_id"])
-    values = wordtable.word_values(wordtable.distinct_words(b), _encode_words(name, folder), "array<int>")
 
     def back(row: dict) -> pa.RecordBatch:
         idx, ends = wordtable.positions(row), row["ends"].to_numpy()
@@ -44,19 +43,21 @@ def encode(docs: DataFrame, doc: str = "doc_id", text: str = "text", name: str =
         return pa.RecordBatch.from_arrays([row["doc_id"], out], ["doc_id", "ids"])
 
     kind = docs.schema[doc].dataType.simpleString()
-    return wordtable.per_block(wordtable.attach(b, values), back, f"doc_id {kind}, ids array<int>")
+    ids = lambda words: wordtable.word_values(words, _encode_words(name, folder), "array<int>")
+    return wordtable.per_block(wordtable.attach(b, wordtable.distinct_words(b), ids), back, f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, doc: str = "doc_id", ids: str = "ids", name: str = "byte_bpe_50k", folder: str = tokenizer.DEFAULT_DIR) -> DataFrame:
     """``doc_id, text``: ids joined to their pieces, pieces put together by position.
 
     The piece table is broadcast: its size is that of the vocabulary (about 50,000 rows). Empty lists give the empty text,
-    null lists a null text, ids outside the vocabulary nothing. Rows are told apart by ``doc_id``, which has to be unique.
+    null lists a null text, ids outside the vocabulary nothing. Pieces travel as hexadecimal digits, so that a text is put together once.
     """
     spark = encoded.sparkSession
-    pieces = spark.createDataFrame([(i, bytearray(p)) for p, i in tokenizer.ranks(name, folder).items()], "id int, piece binary")
-    e = encoded.select(F.col(doc).alias("doc_id"), F.col(ids).alias("ids")).repartition("doc_id")
-    at = e.select("doc_id", F.posexplode("ids").alias("pos", "id")).join(F.broadcast(pieces), "id")
-    text = at.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("p"))
-    text = text.select("doc_id", F.decode(F.aggregate("p", F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x["piece"])), "UTF-8").alias("t"))
-    return e.join(text, "doc_id", "left").select("doc_id", F.when(F.col("ids").isNotNull(), F.coalesce("t", F.lit(""))).alias("text"))
+    pieces = spark.createDataFrame([(i, p.hex()) for p, i in tokenizer.ranks(name, folder).items()], "id int, piece string")
+    e = encoded.select(F.col(doc).alias("doc_id"), F.col(ids).alias("ids")).withColumn("row", F.monotonically_increasing_id())
+    e = wordtable.cut(e.repartition("row"))  # the parts of a row stay in its task
+    at = e.select("row", F.posexplode("ids").alias("pos", "id")).join(F.broadcast(pieces), "id")
+    text = at.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("p"))
+    text = text.select("row", F.decode(F.unhex(F.array_join(F.transform("p", lambda x: x["piece"]), "")), "UTF-8").alias("t"))
+    return e.join(text, "row", "left").select("doc_id", F.when(F.col("ids").isNotNull(), F.coalesce("t", F.lit(""))).alias("text"))

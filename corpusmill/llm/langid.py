@@ -153,8 +153,6 @@ def segments(docs: DataFrame, keys: list[str], text: str = "text", model: Model
     bc = docs.sparkSession.sparkContext.broadcast(model)  # bounded with the training sample
     flat = docs.select(*[F.col(k).alias(k) if "." not in k else F.col(k) for k in keys], F.col(text).alias("text"))
     b = wordtable.blocks(flat, keys)
-    words = b.select(F.explode("words").alias("word")).distinct()
-    scores = wordtable.word_values(words, _word_scores(bc), "array<float>")
     # position in words decides newlines and blanks, so those travel as flags beside the scores
     flag = F.struct(
         F.col("value").alias("s"),
@@ -220,7 +218,7 @@ def segments(docs: DataFrame, keys: list[str], text: str = "text", model: Model
         return pa.RecordBatch.from_arrays(cols, [*keys, "line_no", "lang_code", "confidence", "n_words", "doc_lang", "doc_words", "margin"])
 
     schema = ", ".join(f"{k} {flat.schema[k].dataType.simpleString()}" for k in keys)
-    return wordtable.per_block(wordtable.attach(b, scores.select("word", flag.alias("value"))), back, schema + ", line_no bigint, lang_code string, confidence double, n_words bigint, doc_lang string, doc_words bigint, margin double")
+    return wordtable.per_block(wordtable.attach(b, wordtable.distinct_words(b), lambda words: wordtable.word_values(words, _word_scores(bc), "array<float>").select("word", flag.alias("value"))), back, schema + ", line_no bigint, lang_code string, confidence double, n_words bigint, doc_lang string, doc_words bigint, margin double")
 
 
 def found(docs: DataFrame, doc: str = "document_id", text: str = "text", language: str = "metadata.language", min_words: int = 20, line_words: int = 8, model: Model | None = None) -> DataFrame:

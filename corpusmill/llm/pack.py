@@ -49,8 +49,7 @@ def _terms(docs: DataFrame, doc: str, text: str, site: str | None, name: str, fo
             is_term = [w.strip().isalpha() for w in p["word"]]
             yield pd.DataFrame({"word": p["word"], "tokens": [len(enc.encode_ordinary(w)) for w in p["word"]], "freq": np.where(is_term, p["freq"], 0)})
 
-    values = freq.mapInPandas(count, "word string, tokens int, freq bigint")
-    values = values.select("word", F.struct("tokens", "freq", F.xxhash64("word").alias("term")).alias("value"))
+    values_of = lambda words: words.mapInPandas(count, "word string, tokens int, freq bigint").select("word", F.struct("tokens", "freq", F.xxhash64("word").alias("term")).alias("value"))
 
     def back(row: dict) -> pa.RecordBatch:
         idx, ends, v = wordtable.positions(row), row["ends"].to_numpy(), row["value"]
@@ -75,7 +74,7 @@ def _terms(docs: DataFrame, doc: str, text: str, site: str | None, name: str, fo
         )
 
     kind = docs.schema[doc].dataType.simpleString()
-    return wordtable.per_block(wordtable.attach(b.drop("df"), values), back, f"doc_id {kind}, shard string, n_tokens bigint, terms array<bigint>, weights array<float>")
+    return wordtable.per_block(wordtable.attach(b.drop("df"), freq, values_of), back, f"doc_id {kind}, shard string, n_tokens bigint, terms array<bigint>, weights array<float>")
 
 
 class Index:

@@ -122,10 +122,11 @@ def hot_words(b: DataFrame) -> list[str]:
     return [r[0] for r in counts.orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()]
 
 
-def attach(b: DataFrame, values: DataFrame) -> Attached:
-    """Blocks with the values (``word, value``) of their words."""
+def attach(b: DataFrame, words: DataFrame, values_of: Callable[[DataFrame], DataFrame]) -> Attached:
+    """Blocks with the values of their words; values_of makes ``word, value`` of any rows of ``words``, which hold each distinct word once."""
     hot = b.sparkSession.createDataFrame([(w,) for w in hot_words(b)], "word string")
-    table = values.join(F.broadcast(hot), "word", "left_semi").select("word", "value").toArrow().combine_chunks()
+    table = values_of(words.join(F.broadcast(hot), "word", "left_semi")).select("word", "value").toArrow().combine_chunks()
+    values = values_of(words.join(F.broadcast(hot), "word", "left_anti"))
     chunk = lambda name: pa.concat_arrays(c) if (c := table.column(name).chunks) else pa.array([], table.schema.field(name).type)
     x = b.select("block", F.posexplode("words").alias("i", "word")).join(F.broadcast(hot), "word", "left_anti").join(values, "word")
     per = x.groupBy("block").agg(F.collect_list(F.struct("i", "value")).alias("v"))
