@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
@@ -45,7 +46,22 @@ STREETS_BEFORE = r"(?:[Cc]alle|C/|[Aa]venida|[Aa]vda\.|[Aa]v\.|[Pp]laza|[Pp]za\.
 STREETS_FR = r"(?:rue|avenue|av\.|boulevard|bd|chemin|place|impasse|allée|quai|route|cours|passage|square)"
 
 SP = r"[  ]+"
-CAP = r"[^\W\d_a-zà-öø-ÿ][\w'’\-]*"
+
+
+def _upper() -> str:
+    """Capital and title letters of the first plane as ranges of a character class."""
+    at = [c for c in range(1 << 16) if unicodedata.category(chr(c)) in ("Lu", "Lt")]
+    out, lo = [], None
+    for i, c in enumerate(at):
+        lo = c if lo is None else lo
+        if i + 1 == len(at) or at[i + 1] != c + 1:
+            out.append(f"\\u{lo:04x}-\\u{c:04x}")
+            lo = None
+    return "".join(out)
+
+
+UPPER = _upper()
+CAP = rf"[{UPPER}][\w'’\-]*"
 HOUSE = r"\d{1,4}(?:[  ]?[a-zA-Z]\b)?(?:/\d{1,4}[a-z]?)?(?:[\-–]\d{1,4}[a-zA-Z]?(?!\w|[\-–.]\d))?"
 ADDRESSES = [re.compile(p) for p in (
     rf"(?<![\w.])\d{{1,4}}[a-zA-Z]?{SP}(?:{CAP}{SP}){{1,3}}{STREETS_AFTER}(?!\w)",
@@ -54,9 +70,10 @@ ADDRESSES = [re.compile(p) for p in (
     rf"(?<!\w){STREETS_BEFORE}{SP}{ARTICLES}{CAP}(?:{SP}{CAP}){{0,2}},?{SP}(?:(?:n\.|nº|n°|no\.|nr|núm\.|numero)(?:{SP})?)?{HOUSE}(?!\w)",
     rf"(?<![\w.])\d{{1,4}}(?:(?:{SP})?(?:bis|ter|quater)|[a-zA-Z])?,?{SP}{STREETS_FR}{SP}(?:(?:de|du|des|la|le|les){SP}|de{SP}la{SP}|de{SP}l['’]|d['’]|l['’])*{CAP}(?:{SP}{CAP})?(?!\w)",
 )]
-NUMBER_AFTER_BLANK = re.compile(r"(?<=[  ])\d")
 JOINED_ENDS = tuple("straße strasse str. weg gasse platz allee ufer brücke damm markt straat laan gracht plein kade singel steeg pad hof ring dijk graben steig wall tor".split())
+NUMBER_AFTER_BLANK = re.compile(r"(?<=[  ])\d")
 BEFORE_STEMS = tuple("alle C/ venida vda. v. laza za. aseo amino onda ravesía ia orso iazza icolo argo ul. lica al. leja os. pl. lac Rua Travessa Praça".split())  # what each of STREETS_BEFORE holds
+BEFORE_STEM = re.compile("|".join(map(re.escape, BEFORE_STEMS)))
 HAS_DIGIT = re.compile(r"[0-9]")
 AT_SIGN = re.compile(r"@|[\[(][  ]?(?:at|AT|At|a)[  ]?[\])]")
 AT_WORD = re.compile(r"(?<=[  ])(?:at|AT|arroba|chiocciola|małpa)(?=[  ][^\n]{1,60}[  ](?:dot|DOT|punto|point|kropka|punt|Punkt)[  ])")
@@ -72,6 +89,7 @@ WHOLE = tuple(a + b for a in "0wd" for b in "0wd")
 WORDS_BEFORE = re.compile(r"[^\W\d_]+")
 GIVEN_SIDE = re.compile(rf"({CAP})((?:{SP}[^\W\d_a-z]\.)?{SP}{PARTICLES}*)({CAP})")
 FAMILY_FIRST = re.compile(rf"({PARTICLES}*{CAP}),{SP}({CAP})")
+COMMA_CAPITAL = re.compile(rf",{SP}[{UPPER}]")
 CAPITALISED = re.compile(CAP)
 GAP_AFTER_GIVEN = re.compile(rf"(?:{SP}[^\W\d_]\.)?{SP}{PARTICLES}*")
 GAP_AFTER_FAMILY = re.compile(rf",{SP}")
@@ -92,10 +110,24 @@ class Model:
     weights: dict[str, float] = field(default_factory=dict)
     endings: dict[str, float] = field(default_factory=dict)
     given: frozenset = frozenset()
-    #: By form, the highest score that a pair without a listed given name or a surname ending can reach.
-    reach: dict[str, float] = field(default_factory=dict)
-    #: The part of it that the word before can give.
+    #: The most that the word before a name can add.
     lead: float = 0.0
+    #: Sums of the weights that form, list and ending decide, by (form, known, level), and the most that the features of the place add.
+    base: dict[tuple, float] = field(default_factory=dict)
+    most: float = 0.0
+    seen: dict[str, tuple[bool, float]] = field(default_factory=dict, repr=False)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"seen": {}}
+
+    def told(self, word: str) -> tuple[bool, float]:
+        """Whether a word is a listed given name, and ``surname`` of it."""
+        got = self.seen.get(word)
+        if got is None:
+            if len(self.seen) > 500_000:
+                self.seen.clear()
+            got = self.seen[word] = (_is_given(word, self), self.surname(word))
+        return got
 
     def surname(self, word: str) -> float:
         """Share of the forms with this word's longest known ending that stand as surnames, down to the next of ``LEVELS``."""
@@ -117,6 +149,19 @@ def _before(text: str, at: int) -> list[str]:
     return [w.lower() for w in WORDS_BEFORE.findall(line)[-3:]]
 
 
+def _word_before(text: str, at: int) -> str:
+    """The last word within 45 characters of the line, or nothing."""
+    i, lo = at - 1, max(0, at - 45)
+    while i >= lo and not text[i].isalpha():
+        if text[i] == "\n":
+            return ""
+        i -= 1
+    end = i + 1
+    while i >= lo and text[i].isalpha():
+        i -= 1
+    return text[i + 1 : end].lower()
+
+
 def _around(text: str, s: int, e: int) -> list[str]:
     a = text[s - 1] if s else "\n"
     b = text[e] if e < len(text) else "\n"
@@ -193,8 +238,8 @@ def _addresses(text: str, lo: int, hi: int) -> Iterator[Span]:
     """A form is tried on a line with a digit whenever what it can't do without is there."""
     found: dict[tuple[int, int], tuple[int, re.Match]] = {}
     line = text[lo:hi]
-    joined = any(line[: n.start()].rstrip("  ")[-8:].lower().endswith(JOINED_ENDS) for n in NUMBER_AFTER_BLANK.finditer(line))
-    before = any(x in line for x in BEFORE_STEMS)
+    joined = any(line[max(0, n.start() - 12) : n.start()].rstrip(" \u00a0").lower().endswith(JOINED_ENDS) for n in NUMBER_AFTER_BLANK.finditer(line))
+    before = BEFORE_STEM.search(line) is not None
     for i, form in enumerate(ADDRESSES):
         if (i in (1, 2) and not joined) or (i == 3 and not before):
             continue
@@ -210,18 +255,10 @@ def _is_given(word: str, model: Model) -> bool:
     return word in model.given or word.title() in model.given or word.capitalize() in model.given
 
 
-def _reachable(text: str, at: int, form: str, model: Model) -> bool:
-    most = model.reach.get(form)
-    if most is None or most <= 0:
-        return most is None
-    words = _before(text, at)
-    return most - model.lead + model.weights.get(f"n:w={words[-1] if words else ''}", 0.0) > 0
-
-
 def _names(text: str, model: Model) -> Iterator[Span]:
-    """Pairs of capitalised words. Those that neither list nor ending speaks for are left to their context; where the
-    field's weights keep every such pair below zero, the best segmentation can't hold it and it is not built."""
-    surname = model.surname
+    """Pairs of capitalised words, whatever list and ending say of them. Where the field's weights keep a pair at zero or below, the best
+    segmentation can't hold it, and it is not built."""
+    told, weights = model.told, model.weights
     pos = 0
     while m := GIVEN_SIDE.search(text, pos):
         pos = m.start(3)
@@ -235,27 +272,45 @@ def _names(text: str, model: Model) -> Iterator[Span]:
         for form, g, f in (("gf", a, b), ("fg", b, a)):
             if form == "fg" and middle:
                 continue
-            known, sur = _is_given(g, model), surname(f)
-            if known or sur >= 0.3 or _reachable(text, m.start(), form, model):
-                yield _name_span(text, m.start(), end, form, known, sur, model, g, f, middle)
+            if (x := _name_span(text, m.start(), end, form, told(g), told(f), model, middle, weights)) is not None:
+                yield x
+    if COMMA_CAPITAL.search(text) is None:
+        return
     pos = 0
     while m := FAMILY_FIRST.search(text, pos):
         pos = m.start(2)
         f, g = m.group(1).split()[-1], m.group(2)
         if g.lower() in TITLES:
             continue
-        known, sur = _is_given(g, model), surname(f)
-        if known or sur >= 0.3 or _reachable(text, m.start(), "f,g", model):
-            yield _name_span(text, m.start(), m.start(2) + len(g), "f,g", known, sur, model, g, f, " " in m.group(1))
+        if (x := _name_span(text, m.start(), m.start(2) + len(g), "f,g", told(g), told(f), model, " " in m.group(1), weights)) is not None:
+            yield x
+
 
+def _row(text: str, s: int, e: int) -> str:
+    """Whether a span begins its line, and how the line goes on: far or not, with digits soon or not."""
+    end = text.find("\n", e)
+    rest = text[e : end if end >= 0 else len(text)]
+    return f"n:row{int(s == 0 or text[s - 1] == '\n')}{'far' if len(rest) > 30 else ''}{int(HAS_DIGIT.search(rest[:24]) is not None)}"
 
-def _name_span(text, s, e, form, known, sur, model, g, f, middle) -> Span:
-    words = _before(text, s)
+
+def _name_span(text, s, e, form, given, family, model, middle, weights) -> Span | None:
+    known, sur = given[0], family[1]
     level = "hi" if sur >= 0.7 else "mid" if sur >= 0.3 else "lo"
-    prev = text[:s].rstrip("  ")[-1:]
+    base = model.base.get((form, known, level))
+    if base is not None:  # a trained field
+        if base + model.most <= 0:
+            return None
+        word = _word_before(text, s)
+        if base + model.most - model.lead + weights.get(f"n:w={word}", 0.0) <= 0:
+            return None
+    else:
+        word = _word_before(text, s)
+    prev = text[max(0, s - 3) : s].rstrip(" \u00a0")[-1:]
     k = f"n:{form}"
-    feats = ["n", k, f"n:known{int(known)}{level}", f"{k}:known{int(known)}{level}", f"n:given-sur{int(model.surname(g) >= 0.5)}", f"n:fam-given{int(_is_given(f, model))}", f"n:mid{int(middle)}"]
-    feats += [f"n:w={words[-1] if words else ''}", f"n:prev{prev if not prev.isalnum() else 'w'}"] + [f"n{x}" for x in _around(text, s, e)[1:]]
+    feats = ["n", k, f"n:known{int(known)}{level}", f"{k}:known{int(known)}{level}", f"n:given-sur{int(given[1] >= 0.5)}", f"n:fam-given{int(family[0])}", f"n:mid{int(middle)}"]
+    feats += [_row(text, s, e), f"n:w={word}", f"n:prev{prev if not prev.isalnum() else 'w'}"] + [f"n{x}" for x in _around(text, s, e)[1:]]
+    if base is not None and sum(weights.get(x, 0.0) for x in feats) <= 0:
+        return None
     return Span(s, e, "name", feats)
 
 
@@ -427,17 +482,15 @@ def fit(texts: list[str], given: set[str], endings: dict[str, float], epochs: in
                     for f in fs:
                         w[f] += d - step * decay * w[f]
     model.weights = {f: v for f, v in w.items() if abs(v) > 1e-3}
-    model.reach = {form: _reach(form, model.weights) for form in ("gf", "fg", "f,g")}
     model.lead = max([0.0] + [v for f, v in w.items() if f.startswith("n:w=")])
+    model.most = sum(max([0.0] + [v for f, v in model.weights.items() if f.startswith(x)]) for x in ("n:given-sur", "n:fam-given", "n:mid", "n:row", "n:w=", "n:prev", "n>"))
+    for form in ("gf", "fg", "f,g"):
+        for known in (False, True):
+            for level in ("lo", "mid", "hi"):
+                model.base[form, known, level] = sum(model.weights.get(f, 0.0) for f in ("n", f"n:{form}", f"n:known{int(known)}{level}", f"n:{form}:known{int(known)}{level}"))
     return model
 
 
-def _reach(form: str, weights: dict[str, float]) -> float:
-    """Bound of the score of a name whose given name is not listed and whose ending is no surname's."""
-    fixed = sum(weights.get(f, 0.0) for f in ("n", f"n:{form}", "n:known0lo", f"n:{form}:known0lo"))
-    return fixed + sum(max([0.0] + [v for f, v in weights.items() if f.startswith(x)]) for x in ("n:given-sur", "n:fam-given", "n:mid", "n:w=", "n:prev", "n>"))
-
-
 def find(text: str, model: Model) -> list[Span]:
     out: list[Span] = []
     for g in clusters(candidates(text, model)):

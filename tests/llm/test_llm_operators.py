@@ -414,6 +414,26 @@ def test_names_whose_given_name_and_ending_are_unknown_or_rare(spark):
     assert got == {(501, "name", "Zorvek Tarlamp"), (502, "name", "Zorvek Quidde")}
 
 
+def test_only_capitals_begin_a_name():
+    small = ["łukasz kowalski", "člen žák", "żeby ęsty", "мария иванова", "ο κινητήρας", "ñandú çok"]
+    assert not any(pii.candidates(t, pii.Model()) for t in small)
+    for t in ("Łukasz Kowalski", "Čeněk Žák", "Мария Иванова", "Ελένη Κώστα", "Ǆemal Šehić", "Émile Île"):
+        assert ("name", t) in {(x.kind, t[x.start : x.end]) for x in pii.candidates(t, pii.Model())}, t
+
+
+def test_pairs_that_are_not_built_are_in_no_best_segmentation():
+    rows, _ = pii_rows(150)
+    given = frozenset(g for g, _ in PERSONS[:3])
+    forms: dict = {}
+    for _, t in rows:
+        pii.surname_forms(t, given, forms)
+    model = pii.fit([t for _, t in rows], set(given), {"thrum": 0.7})
+    whole = pii.Model(model.weights, model.endings, model.given)  # without bounds every pair is built
+    for _, t in rows:
+        got = {(x.start, x.end, x.kind) for x in pii.find(t, model)}
+        assert got == {(x.start, x.end, x.kind) for x in pii.find(t, whole)}
+
+
 def test_every_group_of_a_run_and_every_written_address_is_a_candidate():
     spans = lambda t: {(x.kind, t[x.start : x.end]) for x in pii.candidates(t, pii.Model())}
     assert ("phone", "0170 1234567") in spans("Am 12.05.2024 0170 1234567 anrufen")
