@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusmill import schemas, session
 from corpusmill.functions import text as tx
+from corpusmill.functions import votes as votes_fn
 from corpusmill.operators import agreement, annotate, classifier, corpus, head, report, tokens, votes
 from corpusmill.sources import files, sinks
 
@@ -93,13 +94,30 @@ def collect_requests(spark, a):
     sinks.named_lines(_annotation_lines(rows, root, a.model, name, a.lang), a.output, "name", ["line_no"])
 
 
-@command(IN, OUT, ("--sort", {"required": True, "help": "column:asc,column:desc"}), ("--metric", {"required": True}))
+@command(IN, OUT, ("--sort", {"default": "mean_regex_match_rate:desc", "help": "column:asc,column:desc"}), ("--metric", {"default": "mean_regex_match_rate"}))
 def compare_experiments(spark, a):
-    d = spark.read.json(a.input)
+    """Experiments below a folder (each with throughput.json and annotation files) or, from a JSON-line file, rows of their metrics, ranked."""
+    if Path(a.input).is_dir():
+        rows = []
+        for t in files.find(a.input, "throughput.json", required=True):  # one round an experiment
+            ann = files.annotations(spark, files.find(str(Path(t).parent), "*annotations_*.jsonl", required=True))
+            common = ann.select(votes_fn.most_common(votes_fn.valid_votes(F.col("scores"))).alias("score")).agg(F.avg("score")).first()[0]
+            rows.append(json.loads(Path(t).read_text(encoding="utf-8")) | {"mean_regex_match_rate": report.match_rate(ann).first()[0], "mean_score": common, "experiment_path": str(Path(t).parent)})
+        d = _frame(spark, rows)
+    else:
+        d = spark.read.json(a.input)
     sort = [(c.split(":")[0], not c.endswith(":desc")) for c in a.sort.split(",")]
     print(*sinks.experiment_report(report.rank_experiments(d, sort, a.metric), json.dumps(vars(a), default=str), a.output))
 
 
+def _frame(spark, rows: list[dict]):
+    """Records with numbers and texts as a frame; numbers are doubles."""
+    names = sorted({k for r in rows for k in r})
+    num = {k for k in names if all(isinstance(r.get(k), (int, float, type(None))) for r in rows)}
+    data = [tuple(None if r.get(k) is None else float(r[k]) if k in num else str(r[k]) for k in names) for r in rows]
+    return spark.createDataFrame(data, ", ".join(f"`{k}` {'double' if k in num else 'string'}" for k in names))
+
+
 @command(IN, OUT, ("--lines", {"type": int, "required": True}))
 def chunk_jsonl(spark, a):
     d = files.lines(spark, a.input)
@@ -196,10 +214,8 @@ def aggregate_scores(spark, a):
 @command(IN, OUT, AGG)
 def aggregate_human_annotations(spark, a):
     """Every line of a human annotation file with its aggregated score, and without the single votes."""
-    from corpusmill.functions import votes as vt
-
     d = files.human_annotations(spark, a.input)
-    d = d.select(F.concat(sinks.stem_of(F.col("file")), F.lit(f"_aggregated_scores_{a.aggregation}.jsonl")).alias("name"), "line_no", F.col("document_id").alias("doc_id"), vt.aggregate(F.col("scores"), a.aggregation).alias("score"))
+    d = d.select(F.concat(sinks.stem_of(F.col("file")), F.lit(f"_aggregated_scores_{a.aggregation}.jsonl")).alias("name"), "line_no", F.col("document_id").alias("doc_id"), votes_fn.aggregate(F.col("scores"), a.aggregation).alias("score"))
     sinks.named_lines(d.withColumn("value", sinks.score_lines(d, a.aggregation, "document_id")), a.output, "name", ["line_no"])
 
 

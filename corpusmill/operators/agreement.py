@@ -56,11 +56,13 @@ def spearman(ct: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
 
 
 def kendall(ct: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
-    """Tau-b over pairs of cells of the table."""
+    """Tau-b from sums over the grid of the scores that occur: for each cell, the pairs with smaller score_0 below and above it."""
     k = list(keys)
-    a = ct.select(*k, F.col("score_0").alias("x"), F.col("score_1").alias("y"), "n")
-    b = ct.select(*k, F.col("score_0").alias("u"), F.col("score_1").alias("v"), F.col("n").alias("m"))
-    num = a.join(b, k).groupBy(*k).agg((F.sum(F.col("n") * F.col("m") * F.signum(F.col("x") - F.col("u")) * F.signum(F.col("y") - F.col("v"))) / 2).alias("num"))
+    grid = ct.select(*k, "score_0").distinct().join(ct.select(*k, "score_1").distinct(), k).join(ct, [*k, "score_0", "score_1"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    before = lambda part, by: Window.partitionBy(*k, part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    g = grid.withColumn("left", F.coalesce(F.sum("n").over(before("score_1", "score_0")), F.lit(0)))
+    g = g.withColumn("below", F.coalesce(F.sum("left").over(before("score_0", "score_1")), F.lit(0))).withColumn("all", F.sum("left").over(Window.partitionBy(*k, "score_0")))
+    num = g.groupBy(*k).agg(F.sum(F.col("n") * (2 * F.col("below") + F.col("left") - F.col("all"))).cast("double").alias("num"))
     c2 = lambda c: c * (c - 1) / 2
     tot = ct.groupBy(*k).agg(c2(F.sum("n")).alias("n0"))
     t0 = _margin(ct, k, 0).groupBy(*k).agg(F.sum(c2(F.col("m"))).alias("t0"))

@@ -130,6 +130,12 @@ def equal_ids(truth: DataFrame, pred: DataFrame, key: str) -> DataFrame:
     return j.filter(F.when(bad, F.raise_error(F.concat(F.lit("ids differ: "), F.col(key).cast("string"))).cast("boolean")).otherwise(True)).drop("_t", "_p")
 
 
+def kept_records(df: DataFrame, id: str, excluded: Sequence[str], score: str | None = None, domain: Sequence[float] | None = None) -> DataFrame:
+    """Rows whose id is not on a short list and whose score, if asked for, is one of ``domain``; NULL ids and scores drop out."""
+    d = df.filter(F.col(id).isNotNull() & ~F.col(id).isin(*excluded)) if excluded else df.filter(F.col(id).isNotNull())
+    return d.filter(F.col(score).isin(*[float(x) for x in domain])) if score is not None and domain is not None else d
+
+
 def digests(df: DataFrame, id: str, text: str) -> DataFrame:
     return df.select(id, F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("md5"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("sha256"))
 

@@ -663,6 +663,27 @@ def batch_tokenise(s, d):
     return got.select("id", "input_ids", F.aggregate("attention_mask", F.lit(0), lambda a, b: a + b.cast("int")).alias("n_tokens"), F.col("labels")[0].alias("label"))
 
 
+@query(f"with {S()} select doc_id, annotator, {R('score', 'score')} from s where score in (1, 2, 3) and annotator not in ('human-panel__round-2', 'sandor-lab__sl-3b')")
+def kept_records(s, d):
+    return corpus.kept_records(scores(s, d), "annotator", ["human-panel__round-2", "sandor-lab__sl-3b"], "score", (1, 2, 3)).select("doc_id", "annotator", "score")
+
+
+#: Two ways to write a score, the stricter one first.
+FALLBACKS = [r"Score:\s*(\d+(?:\.\d+)?)\s*$", r"(\d+(?:\.\d+)?)"]
+
+
+@query("with e as (select document_id, unnest(explanations) as x, unnest(generate_series(1, len(explanations))) - 1 as k from annotations) select document_id, k::int as k, try_cast(coalesce(nullif(list_last(regexp_extract_all(x, 'Score:\\s*(\\d+(?:\\.\\d+)?)\\s*$', 1)), ''), nullif(list_last(regexp_extract_all(x, '(\\d+(?:\\.\\d+)?)', 1)), '')) as double) as score from e")
+def extract_score_fallback(s, d):
+    e = t(s, d, "annotations").select("document_id", F.posexplode("explanations").alias("k", "x"))
+    return e.select("document_id", "k", tx.extract_score_fallback(F.col("x"), FALLBACKS).alias("score"))
+
+
+@query("select doc_id, n_chars::double as truth, length(text)::double as pred from documents")
+def equal_id_join(s, d):
+    x = t(s, d, "documents")
+    return corpus.equal_ids(x.select("doc_id", F.col("n_chars").cast("double").alias("truth")), x.select("doc_id", F.length("text").cast("double").alias("pred")), "doc_id").select("doc_id", "truth", "pred")
+
+
 # ---------------------------------------------------------------------------------------------- files, written and read again
 
 

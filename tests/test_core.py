@@ -310,6 +310,9 @@ def test_documents_are_scored_file_by_file_in_order(spark, tmp_path):
     assert len(lines_of(tmp_path / "o" / "rejected.jsonl")) == 2  # empty texts
     run("s", "answers", "--start", "3")
     assert [r["document_id"] for r in lines_of(next((tmp_path / "s").rglob("b__*.jsonl")))] == ["3", "4"]
+    assert cli.main(["compare_experiments", "--input", str(tmp_path), "--output", str(tmp_path / "r")]) == 0
+    table = next((tmp_path / "r").glob("*.md")).read_text()
+    assert "velm/x-1" in table and table.count("\n") == 4 and "0.5000" in table  # one of two votes has a score
     with pytest.raises(Exception, match="500"):
         run("x", "refusing")
     assert not (tmp_path / "x" / "throughput.json").exists()
@@ -465,3 +468,20 @@ def test_small_readers_and_gates(spark, tmp_path):
     assert x.first().translated == "[a ]b c[ d]"
     n = corpus.numbered(spark.createDataFrame([("f", i * 50_000) for i in range(9)] + [("g", 3)], "file string, line_no bigint"), "file", "line_no", "at")
     assert sorted((r.file, r.line_no, r["at"]) for r in n.collect()) == [("f", i * 50_000, i) for i in range(9)] + [("g", 3, 0)]
+
+
+def test_streamed_counts_drop_late_rows(spark, tmp_path):
+    src, cp = tmp_path / "s", tmp_path / "c"
+    src.mkdir()
+    put = lambda n, rows: (src / f"{n}.json").write_text("".join(json.dumps({"t": t, "k": k}) + "\n" for t, k in rows))
+    put("a", [("2024-01-01T00:10:00", "x"), ("2024-01-01T00:20:00", "x"), ("2024-01-01T05:00:00", "y")])
+    q = incremental.vote_rates(spark, str(src), "t timestamp, k string", "t", "k")
+
+    def run():
+        got = []
+        q.writeStream.outputMode("append").option("checkpointLocation", str(cp)).foreachBatch(lambda b, n: got.extend(b.collect())).trigger(availableNow=True).start().awaitTermination(60)
+        return sorted((str(r.window.start)[11:16], r.k, r.n) for r in got)
+
+    first = run()
+    put("b", [("2024-01-01T00:30:00", "x"), ("2024-01-01T09:00:00", "z")])
+    assert first == [("00:00", "x", 2)] and run() == [("05:00", "y", 1)]  # the row of 00:30 came after the watermark
