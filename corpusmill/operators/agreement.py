@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,20 +58,32 @@ def spearman(ct: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
 
 
 def kendall(ct: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
-    """Tau-b from sums over the grid of the scores that occur: for each cell, the pairs with smaller score_0 below and above it."""
+    """Tau-b by sums over the grid of a pair's scores; the cells of a pair are one small table."""
     k = list(keys)
-    grid = ct.select(*k, "score_0").distinct().join(ct.select(*k, "score_1").distinct(), k).join(ct, [*k, "score_0", "score_1"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    before = lambda part, by: Window.partitionBy(*k, part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
-    g = grid.withColumn("left", F.coalesce(F.sum("n").over(before("score_1", "score_0")), F.lit(0)))
-    g = g.withColumn("below", F.coalesce(F.sum("left").over(before("score_0", "score_1")), F.lit(0))).withColumn("all", F.sum("left").over(Window.partitionBy(*k, "score_0")))
-    num = g.groupBy(*k).agg(F.sum(F.col("n") * (2 * F.col("below") + F.col("left") - F.col("all"))).cast("double").alias("num"))
-    c2 = lambda c: c * (c - 1) / 2
-    tot = ct.groupBy(*k).agg(c2(F.sum("n")).alias("n0"))
-    t0 = _margin(ct, k, 0).groupBy(*k).agg(F.sum(c2(F.col("m"))).alias("t0"))
-    t1 = _margin(ct, k, 1).groupBy(*k).agg(F.sum(c2(F.col("m"))).alias("t1"))
-    j = num.join(tot, k).join(t0, k).join(t1, k)
-    den = F.sqrt((F.col("n0") - F.col("t0")) * (F.col("n0") - F.col("t1")))
-    return j.select(*k, F.try_divide(F.col("num"), den).alias("kendall"))
+    schema = ", ".join(f"`{c}` {ct.schema[c].dataType.simpleString()}" for c in k) + ", kendall double"
+
+    def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+        grid, mx, my, _, _ = _grid(*(p[c].to_numpy(float) for c in ("score_0", "score_1", "n")))
+        return pd.DataFrame([[*key, _tau(grid, mx, my)]], columns=[*k, "kendall"])
+
+    return ct.groupBy(*k).applyInPandas(one, schema)
+
+
+def _grid(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Counts over the scores that occur, their margins, and the place of each cell."""
+    ux, ix = np.unique(x, return_inverse=True)
+    uy, iy = np.unique(y, return_inverse=True)
+    grid = np.zeros((len(ux), len(uy)))
+    np.add.at(grid, (ix, iy), n)
+    return grid, grid.sum(1), grid.sum(0), ix, iy
+
+
+def _tau(grid: np.ndarray, mx: np.ndarray, my: np.ndarray) -> float | None:
+    left = np.cumsum(grid, 0) - grid  # smaller score_0, by score_1
+    below = np.cumsum(left, 1) - left
+    num, t = (grid * (2 * below + left - left.sum(1, keepdims=True))).sum(), grid.sum()
+    n0, t0, t1 = t * (t - 1) / 2, (mx * (mx - 1) / 2).sum(), (my * (my - 1) / 2).sum()
+    return float(num / np.sqrt((n0 - t0) * (n0 - t1))) if (n0 - t0) * (n0 - t1) > 0 else None
 
 
 def cohen(ct: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
@@ -248,12 +262,46 @@ def comparison(pair_rows: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
 
 
 def metrics(pair_rows: DataFrame, thresholds: Sequence[float] = (3.0,), keys: Sequence[str] = PAIR) -> DataFrame:
-    """All pair metrics side by side. The counted table is cached: every statistic reads it, the documents are shuffled once."""
+    """All pair metrics side by side: ``summary``, ``spearman``, ``kendall`` and ``cohen``, which are defined there.
+
+    Documents are shuffled once and counted; the cells of a pair, as many as its distinct scores squared at most, are then one small
+    table, of which one grouped pass takes every statistic.
+    """
     k = list(keys)
-    table = counted(pair_rows, k).cache()
-    ct = table.filter("score_0 is not null and score_1 is not null")
-    out = summary(table, thresholds, k).join(spearman(ct, k), k, "left").join(kendall(ct, k), k, "left")
-    return out.join(cohen(rounded(ct, k), k), k, "left")
+    table = counted(pair_rows, k)
+    tas = [f"ta_{t:g}".replace(".", "_") for t in thresholds]
+    names = ["n_common", "n_valid", "invalid", "mae", "mse", "acc", *tas, "spearman", "kendall", "cohen"]
+    schema = ", ".join(f"`{c}` {table.schema[c].dataType.simpleString()}" for c in k) + "".join(f", {n} {'bigint' if n in names[:3] else 'double'}" for n in names)
+
+    def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+        total = int(p["n"].sum())
+        p = p[p["score_0"].notna() & p["score_1"].notna()]
+        x, y, n = (p[c].to_numpy(float) for c in ("score_0", "score_1", "n"))
+        return pd.DataFrame([[*key, total, int(n.sum()), total - int(n.sum()), *_statistics(x, y, n, thresholds)]], columns=[*k, *names])
+
+    return table.groupBy(*k).applyInPandas(one, schema)
+
+
+def _statistics(x: np.ndarray, y: np.ndarray, n: np.ndarray, thresholds: Sequence[float]) -> list[float | None]:
+    """Errors, shares and correlations of cells (x, y) that n pairs have; None where undefined."""
+    t = n.sum()
+    if not t:
+        return [None] * (6 + len(thresholds))
+    if min(x.min(), y.min()) < 0:
+        raise ValueError("scores must not be negative")
+    d, rx, ry = x - y, np.floor(x + 0.5), np.floor(y + 0.5)
+    out = [(n * np.abs(d)).sum() / t, (n * d * d).sum() / t, (n * (rx == ry)).sum() / t]
+    out += [(n * ((x >= c) == (y >= c))).sum() / t for c in thresholds]
+    grid, mx, my, ix, iy = _grid(x, y, n)
+    rank = lambda m: np.cumsum(m) - m + (m + 1) / 2
+    a, b = rank(mx)[ix], rank(my)[iy]
+    var = (t * (n * a * a).sum() - (n * a).sum() ** 2) * (t * (n * b * b).sum() - (n * b).sum() ** 2)
+    out.append((t * (n * a * b).sum() - (n * a).sum() * (n * b).sum()) / np.sqrt(var) if var > 0 else None)
+    out.append(_tau(grid, mx, my))
+    labels = np.unique(np.concatenate([rx, ry]))
+    e = sum(n[rx == c].sum() * n[ry == c].sum() for c in labels) / (t * t)
+    out.append((out[2] - e) / (1 - e) if e != 1 else None)
+    return [None if v is None else float(v) for v in out]
 
 
 def pair_fleiss(ct: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
