@@ -1,9 +1,9 @@
 """Texts of evaluation splits that also stand, the same or lightly edited, in the training split.
 
 Texts become word sequences (case, accents, punctuation, spacing and invisible characters do not count) and exact copies
-collapse to classes. An evaluation sequence of n words is cut into disjoint segments; as long as fewer words change than
-k = floor(MAX_EDITS n), any k + 1 of its segments hold one that stands unchanged in the training sequence, not further from
-its place than moved words can shift it. Which k + 1 are matched is free, so the segments are counted among the training
+collapse to classes. An evaluation sequence of n words is cut into disjoint segments; as long as no more words change than
+k = floor(MAX_EDITS n), any k + 1 of its segments hold one, and any k + 2 of them two, that stand unchanged in the training sequence, not further from
+its place than moved words can shift it. Which k + 2 are matched is free, so the segments are counted among the training
 substrings and the rarest are taken: sentence forms that very many texts share are left aside without losing a pair. The chosen
 segments are joined with the training substrings at the allowed positions, and candidates are verified by banded
 dynamic programming over words, many pairs at a time.
@@ -81,9 +81,9 @@ def _windows(ids: np.ndarray, size: int) -> np.ndarray:
     return acc.astype(np.int64)
 
 
-def chosen_segments(n: int) -> int:
-    """How many segments of a text of n words are matched: one more than edits may break (a training text may be longer by them)."""
-    return int((MOVED_SHORT * n if n <= LONG else MAX_EDITS * int(n / (1 - MAX_EDITS) + 1e-9)) + 1e-9) + 1
+def most_broken(n: int) -> int:
+    """How many segments of a text of n words edits may break (a training text may be longer by them)."""
+    return int((MOVED_SHORT * n if n <= LONG else MAX_EDITS * int(n / (1 - MAX_EDITS) + 1e-9)) + 1e-9)
 
 
 def _keys(flat: np.ndarray, off: np.ndarray, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -253,27 +253,32 @@ def _spread(classes: DataFrame, side: str, wanted: np.ndarray | None = None, onl
     return classes.select("cls", "ids").mapInArrow(part, "key bigint" + ("" if only_keys else f", c{side} binary, n{side} int, p{side} int"))
 
 
-def _need(n: Column) -> Column:
-    """``chosen_segments`` as a column."""
-    return F.floor(F.when(n <= LONG, n * MOVED_SHORT).otherwise(F.floor(n / (1 - MAX_EDITS) + 1e-9) * MAX_EDITS) + 1e-9) + 1
+def _broken(n: Column) -> Column:
+    """``most_broken`` as a column."""
+    return F.floor(F.when(n <= LONG, n * MOVED_SHORT).otherwise(F.floor(n / (1 - MAX_EDITS) + 1e-9) * MAX_EDITS) + 1e-9)
 
 
 def candidates(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``ca, cb``: pairs of classes (``cls, ids`` each) with a common segment at allowed places among the rarest of the evaluation text."""
+    """``ca, cb``: pairs of classes (``cls, ids`` each) with enough of the evaluation text's rarest segments in common, at allowed places.
+
+    With k segments that edits may break, k + 2 are matched and two of them have to agree; where a text has but k + 1, one.
+    """
     n_keys = b.agg(F.coalesce(F.sum(F.length("ids") / 4 / SEGMENT), F.lit(0))).first()[0]
     wanted = key_filter(b.select("ids"), lambda rows: _keys(*_sequences(rows.column("ids")), "b")[0], int(n_keys))
     freq = _spread(a, "a", wanted, only_keys=True).groupBy("key").agg(F.count("*").alias("freq"))
     seg = _spread(b, "b").join(freq, "key")  # segments that stand nowhere in training are the rarest: they fill the choice first, and match nothing
     of = seg.groupBy("cb", "nb").agg(F.sort_array(F.collect_list(F.struct("freq", "key", "pb"))).alias("s"))  # a text's own segments
-    nowhere = F.floor(F.col("nb") / F.when(F.col("nb") > SHORTEST + 1, SEGMENT).otherwise(SHORT_SEGMENT)) - F.size("s")
-    left = F.greatest(_need(F.col("nb")) - nowhere, F.lit(0)).cast("int")
-    chosen = of.select("cb", "nb", F.explode(F.slice("s", F.lit(1), left)).alias("s")).select("cb", "nb", "s.key", "s.pb")
+    total = F.floor(F.col("nb") / F.when(F.col("nb") > SHORTEST + 1, SEGMENT).otherwise(SHORT_SEGMENT))
+    of = of.withColumn("want", F.least(total, _broken(F.col("nb")) + 2)).withColumn("least", F.greatest(F.col("want") - _broken(F.col("nb")), F.lit(1)).cast("int"))
+    left = F.greatest(F.col("want") - (total - F.size("s")), F.lit(0)).cast("int")
+    chosen = of.select("cb", "nb", "least", F.explode(F.slice("s", F.lit(1), left)).alias("s")).select("cb", "nb", "least", "s.key", "s.pb")
     chosen = cut(chosen)
     again = key_filter(chosen.select("key"), lambda rows: rows.column("key").to_numpy(zero_copy_only=False), chosen.count())
     sub = _spread(a, "a", again)
     longer = F.greatest("na", "nb")
     near = (F.abs(F.col("pa") - F.col("pb")) <= longer * MAX_MOVED + 1) & (F.abs(F.col("na") - F.col("nb")) <= longer * MAX_EDITS) & (F.col("ca") != F.col("cb"))
-    return chosen.join(sub, "key").filter(near).select("ca", "cb").distinct()
+    hits = chosen.join(sub, "key").filter(near).select("ca", "cb", "least", "pb").distinct()
+    return hits.groupBy("ca", "cb", "least").agg(F.count("*").alias("n")).filter(F.col("n") >= F.col("least")).select("ca", "cb")
 
 
 def class_links(docs: DataFrame, id: str = "id", text: str = "text", split: str = "split", train: str = "train", evaluation: tuple[str, ...] = ("val", "test")) -> tuple[DataFrame, DataFrame]:
@@ -320,4 +325,4 @@ def report(docs: DataFrame, source: str = "source", **how) -> DataFrame:
     return p.groupBy("split", "source", "train_source").agg(F.count("*").alias("n_pairs"), F.countDistinct("eval_id").alias("n_eval"), F.count_if(F.col("distance") == 0).alias("n_exact"))
 
 
-__all__ = ["banded_distance", "chosen_segments", "class_links", "found", "light_edits", "pairs", "report", "word_list"]
+__all__ = ["banded_distance", "class_links", "found", "light_edits", "most_broken", "pairs", "report", "word_list"]
