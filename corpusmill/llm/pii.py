@@ -29,6 +29,8 @@ SAMPLE_DOCS = 5000
 MAX_ENDINGS = 500_000
 #: Shares of surnames among the forms of an ending that features tell apart.
 LEVELS = (0.3, 0.5, 0.7)
+#: Share of its places that a form has to stand beside a listed given name to be a surname.
+LEAST_BESIDE = 0.05
 
 # Words before a number, titles, name particles and street words, by language where they differ.
 PHONE_CUES = set("tel telefon telefono teléfono telefone téléphone tél phone ring call mobile fax unter ruft llama chiama bel appelez numerem telefonicznie le retard al il nummer mobil handy".split())
@@ -93,6 +95,7 @@ COMMA_CAPITAL = re.compile(rf",{SP}[{UPPER}]")
 CAPITALISED = re.compile(CAP)
 GAP_AFTER_GIVEN = re.compile(rf"(?:{SP}[^\W\d_]\.)?{SP}{PARTICLES}*")
 GAP_AFTER_FAMILY = re.compile(rf",{SP}")
+NO_APOSTROPHE = {ord(c): None for c in "'’"}
 KNOWN = re.compile(r":known[01](?:hi|mid|lo)$")
 
 
@@ -410,38 +413,56 @@ def _label(text: str, spans: list[Span], model: Model) -> None:
             taken.append(x)
 
 
-def surname_forms(text: str, given: frozenset, forms: dict[str, bool]) -> None:
-    """Adds the last parts of the capitalised words of a text, and whether they stand beside a listed given name as a family name does."""
-    model = Model(given=given)
+def surname_forms(text: str, given: frozenset, forms: dict[str, list[int]], seen: dict[str, tuple[str, bool]] | None = None) -> None:
+    """Counts the last parts of the capitalised words of a text: how often they stand there, and how often beside a listed given name as a family
+    name does. Handles and numbers (words with underscores or digits, beside ``@`` or ``#``) are no forms: their variety grows with the corpus,
+    and they would outnumber the family names that they end in. Nor are initials. ``seen`` keeps what was found out of words."""
+    model, seen = Model(given=given), {} if seen is None else seen
     last_end, last, last_given = 0, "", False
     for m in CAPITALISED.finditer(text):
         w = m.group()
-        key, is_given = w.rsplit("-", 1)[-1].lower(), _is_given(w, model)
-        forms.setdefault(key, False)
-        if last and last_given and GAP_AFTER_GIVEN.fullmatch(text, last_end, m.start()):
-            forms[key] = True
-        elif last and is_given and GAP_AFTER_FAMILY.fullmatch(text, last_end, m.start()):
-            forms[last.rsplit("-", 1)[-1].lower()] = True
-        last_end, last, last_given = m.end(), w, is_given
+        told = seen.get(w)
+        if told is None:
+            key = w.rsplit("-", 1)[-1].lower()
+            told = seen[w] = (key if key.translate(NO_APOSTROPHE).isalpha() else "", _is_given(w, model))
+        key, is_given = told
+        start, end = m.span()
+        if not key or text[end : end + 1] == "@" or text[start - 1 : start] in ("@", "#"):
+            last, last_given = "", False
+            continue
+        if len(w) == 1 and last_given and text[end : end + 1] == ".":
+            continue  # an initial after a given name
+        count = forms.setdefault(key, [0, 0])
+        count[0] += 1
+        if last_given and GAP_AFTER_GIVEN.fullmatch(text, last_end, start):
+            count[1] += 1
+        elif last and is_given and GAP_AFTER_FAMILY.fullmatch(text, last_end, start):
+            forms[last][1] += 1
+        last_end, last, last_given = end, key, is_given
 
 
 def surname_endings(docs: DataFrame, given: set[str], text: str = "text", bound: int = MAX_ENDINGS) -> dict[str, float]:
-    """Endings of 4 to 7 letters that two forms or more of all documents share, with the share of those that stand as surnames, down to the next
-    of ``LEVELS``. An ending that says the same as the next shorter one is left out, as ``Model.surname`` goes on to that."""
+    """Endings of 4 to 7 letters that two forms or more of all documents share, with the share of those that stand as surnames (``LEAST_BESIDE`` of
+    the times, so that no chance meeting in a large corpus makes a surname), down to the next of ``LEVELS``. An ending that says the same as the
+    next shorter one is left out, as ``Model.surname`` goes on to that."""
     bc = docs.sparkSession.sparkContext.broadcast(frozenset(given))
 
     def part(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forms: dict[str, bool] = {}
-        out = lambda: pa.RecordBatch.from_arrays([pa.array(list(forms), pa.string()), pa.array(list(forms.values()), pa.bool_())], ["form", "after"])
+        forms: dict[str, list[int]] = {}
+        seen: dict[str, tuple[str, bool]] = {}
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(list(forms), pa.string()), *(pa.array([c[i] for c in forms.values()], pa.int64()) for i in (0, 1))], ["form", "n", "beside"])
         for rows in it:
             for t in rows.column("t").to_pylist():
-                surname_forms(t, bc.value, forms)
+                surname_forms(t, bc.value, forms, seen)
+            if len(seen) > 500_000:
+                seen.clear()
             if len(forms) > 200_000:
                 yield out()
                 forms.clear()
         yield out()
 
-    forms = docs.select(F.col(text).alias("t")).filter("length(t) > 0").mapInArrow(part, "form string, after boolean").groupBy("form").agg(F.max("after").alias("after"))
+    forms = docs.select(F.col(text).alias("t")).filter("length(t) > 0").mapInArrow(part, "form string, n bigint, beside bigint").groupBy("form").agg(F.sum("n").alias("n"), F.sum("beside").alias("beside"))
+    forms = forms.select("form", ((F.col("beside") > 0) & (F.col("beside") >= F.col("n") * LEAST_BESIDE)).alias("after"))
     ends = forms.filter("length(form) >= 4").select("after", F.explode(F.expr("transform(sequence(4, least(7, length(form))), k -> right(form, k))")).alias("ending"))
     share = ends.groupBy("ending").agg(F.count("*").alias("n"), F.sum(F.col("after").cast("int")).alias("hit")).filter("n >= 2")
     level = F.lit(0.0)

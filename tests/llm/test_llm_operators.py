@@ -414,6 +414,19 @@ def test_names_whose_given_name_and_ending_are_unknown_or_rare(spark):
     assert got == {(501, "name", "Zorvek Tarlamp"), (502, "name", "Zorvek Quidde")}
 
 
+def test_surname_endings_of_a_large_corpus(spark):
+    """What grows with a corpus, handles that end in family names and chance meetings, leaves the shares of the endings as they are."""
+    given = {g for g, _ in PERSONS}
+    rows, handles = [], [f"{g}{i}_{f}" for g, f in PERSONS for i in range(40)] + [f"{g}{c}{f}@mail.example" for g, f in PERSONS for c in "abcdefgh"]
+    rows += [f"The page was written by {g} {f}. Write to {h} today." for g, f in PERSONS for h in handles[::5]] + [f"Write to {h} today." for h in handles]
+    rows += ["Hello to all. Garden stones."] * 100 + ["Alice Garden, Alice Wharden"]  # Garden meets a given name once in 101
+    rows += ["It was Alice B. Norquamp, then Brian Q. Telquamp."]
+    got = pii.surname_endings(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string"), given)
+    model = pii.Model(given=frozenset(given), endings=got)
+    assert {model.surname(f) for _, f in PERSONS} == {0.7} and model.surname("Ullquamp") == 0.7
+    assert model.surname("Garden") == 0.5  # one form of two
+
+
 def test_only_capitals_begin_a_name():
     small = ["łukasz kowalski", "člen žák", "żeby ęsty", "мария иванова", "ο κινητήρας", "ñandú çok"]
     assert not any(pii.candidates(t, pii.Model()) for t in small)
